@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .line_dedup import line_report
 from .quality_rules import quality
 from .simhash_dedup import simhash_components
 
@@ -18,6 +19,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_report(_table(spark, sf_dir, "documents"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     cols = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"]
@@ -25,7 +30,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_dedup, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_simhash_dedup, op8_line_dedup, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
