@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .decontamination import contamination
 from .line_dedup import line_report
 from .quality_rules import quality
 from .simhash_dedup import simhash_components
@@ -19,6 +20,10 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_components(_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
@@ -30,7 +35,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_dedup, op8_line_dedup, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_simhash_dedup, op5_decontamination, op8_line_dedup, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
