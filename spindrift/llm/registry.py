@@ -10,6 +10,7 @@ from .decontamination import contamination
 from .line_dedup import line_report
 from .quality_rules import quality
 from .simhash_dedup import simhash_components
+from .source_mixing import label_domains, mixing_rates
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing_rates(_table(spark, sf_dir, "documents"), label_domains(_table(spark, sf_dir, "labels")))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
@@ -35,7 +40,7 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_dedup, op5_decontamination, op8_line_dedup, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
