@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .decontamination import contamination
 from .line_dedup import line_report
 from .quality_rules import quality
+from .secret_scan import secret_report
 from .simhash_dedup import simhash_components
 from .source_mixing import label_domains, mixing_rates
 
@@ -39,8 +40,12 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(_table(spark, sf_dir, "documents"), trusted).select(*cols)
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules)}
+    return {f.__name__: f for f in (op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
