@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .decontamination import contamination
+from .html_extraction import extract_pages
 from .license_scan import license_report
 from .line_dedup import line_report
 from .quality_rules import quality
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(_table(spark, sf_dir, "pages"))
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_report(_table(spark, sf_dir, "documents"))
 
@@ -50,7 +55,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
+    return {f.__name__: f for f in (op2_html_extraction, op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
