@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .chat_format import chat_format
 from .decontamination import contamination
 from .html_extraction import extract_pages
 from .license_scan import license_report
@@ -40,6 +41,10 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing_rates(_table(spark, sf_dir, "documents"), label_domains(_table(spark, sf_dir, "labels")))
 
 
+def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat_format(_table(spark, sf_dir, "conversations"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_report(_table(spark, sf_dir, "documents"))
 
@@ -55,7 +60,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_html_extraction, op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
+    return {f.__name__: f for f in (op2_html_extraction, op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op7_chat_format, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
