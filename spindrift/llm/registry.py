@@ -15,12 +15,17 @@ from .quality_rules import quality
 from .secret_scan import secret_report
 from .simhash_dedup import simhash_components
 from .source_mixing import label_domains, mixing_rates
+from .toxicity import toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
+
+
 def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(_table(spark, sf_dir, "pages"))
 
@@ -60,7 +65,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_html_extraction, op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op7_chat_format, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_toxicity, op2_html_extraction, op3_license_scan, op4_simhash_dedup, op5_decontamination, op6_source_mixing, op7_chat_format, op8_line_dedup, op9_quality_rules, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:
