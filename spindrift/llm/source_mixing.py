@@ -1,15 +1,18 @@
 """Mixing documents to target weights by soft membership.
 
-A multinomial naive Bayes classifier is counted from the labelled table: hashed words and hashed pairs of
-word shapes per domain. A bucket speaks for a domain only where its count is `SIGNIFICANCE` standard
+A multinomial naive Bayes classifier is counted from the labelled table: hashed words and hashed word
+endings (the last two characters, marks included) per domain, each different
+word of a text once, and how often words repeat. A bucket speaks for a domain only where its count is `SIGNIFICANCE` standard
 deviations away from what the labelled corpus as a whole expects, so unspecific words add no noise in
-long texts. Every document gets a posterior over the domains.
+long texts. A document's likeliest domain, and whether its posterior reaches
+`SURE`, name its cell; the labelled documents of the cell give the posteriors that count (smoothed by the
+shares of all domains), so the expected totals agree with the labels.
 
 The rates solve least squares over all documents: with t the words of a document, p its posteriors and r
 its rate, sum_d (sum_i t_i p_id r_i - T_d)^2 / S_d is minimised over r >= 0, where T_d are the targets (a
 weight times the token budget) and S_d the tokens the corpus expects of domain d. It is projected
-gradient descent from one common rate, in the metric of the token counts. Step length 1 is safe: the
-scaled matrix has rows that sum to 1. A step needs the totals of all domains (one aggregate of a few
+gradient descent from one common rate, in the metric of the token counts; a step is scaled by the tokens
+of the documents that still have a rate above 0, as only those can give way. A step needs the totals of all domains (one aggregate of a few
 numbers); a document's rate is a function of its own posteriors and the steps so far, so nothing per
 document is shuffled or gathered.
 
@@ -30,13 +33,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, guarded, literal_doubles, words
-from .quality_rules import shapes
 
 BUCKETS = 1 << 15
-SIGNIFICANCE = 4.0
+SIGNIFICANCE = 5.0
+PRIOR = 2.0
+SURE = 0.9
 LIMIT = 4.0
-STEPS = 60
-TOLERANCE = 1e-7
+STEPS = 30
+#: Largest difference from a target, as a share of the domain's tokens, at which the steps end.
+TOLERANCE = 1e-4
+#: Least share of a domain's tokens that scales a step, however few documents still have a rate above 0.
+LEAST = 0.1
 #: Shares of the token budget, and the budget as a share of the corpus' tokens.
 TARGETS = {"good": 0.93, "poor": 0.05, "toxic": 0.02}
 BUDGET = 0.5
@@ -49,21 +56,21 @@ def label_domains(labels: DataFrame) -> DataFrame:
 
 
 def _spots(d: DataFrame, *keep: str) -> DataFrame:
-    """One row per word: `keep`, its word bucket b1 and shape bucket b2; one row with nulls for a text without words."""
-    text = F.coalesce("text", F.lit(""))
-    d = d.withColumns({"_w": words(F.lower(text)), "_s": words(shapes(text))})
-    d = d.withColumn("_n", F.size("_w"))
-    d = d.select(*keep, "_w", "_s", F.explode_outer(F.when(F.col("_n") > 0, F.sequence(F.lit(0), F.col("_n") - 1))).alias("_i"))
+    """One row per different word of each text: `keep`, its word bucket b1 and ending bucket b2; one row with nulls for a text without words."""
+    d = d.withColumn("_a", words(F.lower(F.coalesce("text", F.lit(""))))).withColumn("_u", F.array_distinct("_a"))
+    # how often words repeat, as one more word that no text has
+    repeats = F.concat(F.lit("\x01"), F.floor(2 * F.log2(F.size("_a") / F.size("_u"))).cast("string"))
+    d = d.withColumn("_w", F.when(F.size("_u") > 0, F.concat("_u", F.array(repeats))))
+    d = d.select(*keep, F.explode_outer("_w").alias("_x"))
     half = BUCKETS // 2
-    word, pair = F.get("_w", F.col("_i")), F.xxhash64(F.get("_s", F.col("_i")), F.get("_s", F.col("_i") + 1))
-    some = F.col("_i").isNotNull()
-    return d.select(*keep, F.when(some, F.pmod(F.xxhash64(word), F.lit(half)).cast("int")).alias("b1"), F.when(some, F.lit(half) + F.pmod(pair, F.lit(half)).cast("int")).alias("b2"))
+    some = F.col("_x").isNotNull()
+    end = F.lit(half) + F.pmod(F.xxhash64(F.right("_x", F.lit(2))), F.lit(half))
+    return d.select(*keep, F.when(some, F.pmod(F.xxhash64("_x"), F.lit(half)).cast("int")).alias("b1"), F.when(some, end.cast("int")).alias("b2"))
 
 
 def fit(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[float], list[list[float]]]:
     """Domains, log priors and bucket weights of the classifier. At most BUCKETS counts per domain reach the driver."""
-    known = labelled.where("doc_id is not null and domain is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("domain").alias("_d"))
-    known = guarded(cut(known))
+    known = guarded(cut(_known(labelled)))
     marked = docs.select("doc_id", "text").join(known, F.col("doc_id") == F.col("_id"))
     sizes = {d: n for d, n in marked.groupBy("_d").count().collect()}  # one row per domain
     domains = sorted(sizes)
@@ -81,7 +88,7 @@ def fit(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[float], l
         for c, t in zip(counts[d], total):
             expected = t * part
             real = abs(c - expected) > SIGNIFICANCE * math.sqrt(expected + 1)
-            row.append(max(-LIMIT, min(LIMIT, math.log((c + 0.5) / (expected + 0.5)))) if real else 0.0)
+            row.append(max(-LIMIT, min(LIMIT, math.log((c + PRIOR) / (expected + PRIOR)))) if real else 0.0)
         weights.append(row)
     n = sum(sizes.values())
     return domains, [math.log(sizes[d] / n) for d in domains], weights
@@ -90,10 +97,12 @@ def fit(docs: DataFrame, labelled: DataFrame) -> tuple[list[str], list[float], l
 def posteriors(docs: DataFrame, model: tuple[list[str], list[float], list[list[float]]], keys: list[str]) -> DataFrame:
     """(*keys, n_tokens, p_0, p_1, ...) for every row of `docs` (*keys, text); p_k belongs to the k-th domain."""
     domains, priors, weights = model
-    d = _spots(docs.select(*keys, "text", F.monotonically_increasing_id().alias("_row")), "_row", *keys)
+    rows = docs.select(*keys, "text", F.monotonically_increasing_id().alias("_row"))
+    rows = rows.withColumn("n_tokens", F.size(words(F.col("text"))).cast("long"))
+    d = _spots(rows, "_row", *keys, "n_tokens")
     tables = [literal_doubles(w) for w in weights]
-    d = d.select("_row", *keys, "b1", *[(F.get(t, F.col("b1")) + F.get(t, F.col("b2"))).alias(f"_x{k}") for k, t in enumerate(tables)])
-    d = d.groupBy("_row", *keys).agg(F.count("b1").alias("n_tokens"), *[F.coalesce(F.sum(f"_x{k}"), F.lit(0.0)).alias(f"_x{k}") for k in range(len(domains))])
+    d = d.select("_row", *keys, "n_tokens", *[(F.get(t, F.col("b1")) + F.get(t, F.col("b2"))).alias(f"_x{k}") for k, t in enumerate(tables)])
+    d = d.groupBy("_row", *keys, "n_tokens").agg(*[F.coalesce(F.sum(f"_x{k}"), F.lit(0.0)).alias(f"_x{k}") for k in range(len(domains))])
     logs = [F.col(f"_x{k}") + F.lit(priors[k]) for k in range(len(domains))]
     top = F.greatest(*logs) if len(logs) > 1 else logs[0]
     d = d.withColumns({f"_e{k}": F.exp(F.greatest(x - top, F.lit(-50.0))) for k, x in enumerate(logs)})
@@ -101,6 +110,27 @@ def posteriors(docs: DataFrame, model: tuple[list[str], list[float], list[list[f
     return d.select(*keys, "n_tokens", *[F.round(F.col(f"_e{k}") / all_, 9).alias(f"p_{k}") for k in range(len(domains))])
 
 
+def _known(labelled: DataFrame) -> DataFrame:
+    """(_id, _d): one domain per labelled id."""
+    return labelled.where("doc_id is not null and domain is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.min("domain").alias("_d"))
+
+
+def calibrated(shares: DataFrame, domains: list[str], known: DataFrame) -> DataFrame:
+    """`shares` (doc_id, p_k, ...) with cell, and p_k replaced by the share of domain k among the cell's labelled documents."""
+    p = [F.col(f"p_{k}") for k in range(len(domains))]
+    top = F.array_max(F.array(*[F.struct(x.alias("p"), F.lit(-k).alias("k")) for k, x in enumerate(p)]))
+    celled = shares.withColumn("cell", -2 * top["k"] + (top["p"] >= SURE).cast("int"))
+    counts = celled.select("doc_id", "cell").join(known, F.col("doc_id") == F.col("_id")).groupBy("cell", "_d").count().collect()  # a few cells
+    n = {(c, d): m for c, d, m in counts}
+    all_ = max(1, sum(n.values()))
+    prior = [sum(m for (_, d), m in n.items() if d == name) / all_ if n else 1 / len(domains) for name in domains]
+    rows = []
+    for c in range(2 * len(domains)):
+        size = sum(n.get((c, d), 0) for d in domains)
+        rows.append([(n.get((c, d), 0) + q) / (size + 1) for d, q in zip(domains, prior)])
+    return celled.withColumns({f"p_{k}": F.get(F.array(*[F.lit(r[k]) for r in rows]), F.col("cell")) for k in range(len(domains))})
+
+
 def _rate(start: float, steps: list[list[float]]) -> Column:
     r = F.lit(start)
     for g in steps:
@@ -119,14 +149,17 @@ def rates(shares: DataFrame, domains: list[str], targets: dict[str, float], budg
     have = [x or 0.0 for x in shares.agg(*mass).first()]
     want = [w * budget * sum(have) for w in weight]
     steps: list[list[float]] = []
-    totals = [budget * h for h in have]
+    totals, active = [budget * h for h in have], have
     for _ in range(STEPS):
-        g = [(t - w) / h if h else 0.0 for t, w, h in zip(totals, want, have)]
+        g = [(t - w) / max(a, LEAST * h) if h else 0.0 for t, w, a, h in zip(totals, want, active, have)]
         if max(abs(x) for x in g) <= TOLERANCE:
             break
         steps.append(g)
         r = _rate(budget, steps)
-        totals = [x or 0.0 for x in shares.agg(*[F.sum(F.col("n_tokens") * F.col(f"p_{k}") * r) for k in range(len(domains))]).first()]
+        part = [F.col("n_tokens") * F.col(f"p_{k}") for k in range(len(domains))]
+        now = shares.select(*part, r.alias("r")).toDF(*[f"m{k}" for k in range(len(domains))], "r")
+        sums = now.agg(*[F.sum(F.col(f"m{k}") * F.col("r")) for k in range(len(domains))], *[F.sum(F.when(F.col("r") > 0, F.col(f"m{k}"))) for k in range(len(domains))]).first()
+        totals, active = [x or 0.0 for x in sums[: len(domains)]], [x or 0.0 for x in sums[len(domains) :]]
     return F.round(_rate(budget, steps), 6), totals, want
 
 
@@ -134,11 +167,10 @@ def mixing_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float]
     """(*keys, n_tokens, domain, p_domain, rate) for every row; domain: the likeliest, the first by name of equals."""
     keys = keys or ["doc_id"]
     model = fit(docs, labelled)
-    shares = cut(posteriors(docs, model, keys))
+    shares = cut(calibrated(cut(posteriors(docs, model, keys)), model[0], guarded(cut(_known(labelled)))))
     rate, _, _ = rates(shares, model[0], targets or TARGETS, budget)
-    best = F.array_max(F.array(*[F.struct(F.col(f"p_{k}").alias("p"), F.lit(-k).alias("k")) for k in range(len(model[0]))]))
-    names = F.array(*[F.lit(d) for d in model[0]])
-    return shares.select(*keys, "n_tokens", F.get(names, -best["k"]).alias("domain"), best["p"].alias("p_domain"), rate.alias("rate"))
+    names, likely = F.array(*[F.lit(d) for d in model[0]]), F.floor(F.col("cell") / 2).cast("int")
+    return shares.select(*keys, "n_tokens", F.get(names, likely).alias("domain"), F.get(F.array(*[F.round(f"p_{k}", 6) for k in range(len(model[0]))]), likely).alias("p_domain"), rate.alias("rate"))
 
 
 def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, budget: float = BUDGET) -> DataFrame:
