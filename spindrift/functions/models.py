@@ -129,34 +129,43 @@ def resample_counts(n: int = 1000, seed: int = 42, least: int = 3, most: int = 3
     return {k: np.bincount(np.random.default_rng(seed).integers(0, k, n), minlength=k).tolist() for k in range(least, most + 1)}
 
 
-def bootstrap_quantiles(point: Column, res: Column, pattern: Column) -> Column:
-    """struct<mean, p50, p80, p90>: resampled residuals about a point, or log-normal factors under three residuals.
+#: The places (from 0) of the 1000 sorted samples that p50, p80 and p90 read, with the weight of the second.
+PLACES = tuple((int(share * 999), min(int(share * 999) + 1, 999), share * 999 - int(share * 999)) for share in (0.5, 0.8, 0.9))
+
+
+def order_statistics(res: Column) -> Column:
+    """array<double>: the residuals at both places of each quantile in the seeded bootstrap sample; null under three residuals.
 
     The draw of a seeded bootstrap depends only on the number of residuals, so it is a table of counts; the
-    1000 samples are the residuals repeated by it, sorted, and read with linear interpolation.
+    sample is the sorted residuals repeated by it.
     """
-    p = F.greatest(F.lit(0.0), point)
-    factors = spread_quantiles()
-    log = lambda k: p * F.coalesce(F.element_at(F.create_map(*[x for name, f in factors.items() for x in (F.lit(name), F.lit(f[k]))]), pattern), F.lit(factors[""][k]))
     counts = resample_counts()
     table = F.create_map(*[x for k, c in counts.items() for x in (F.lit(k), F.expr("array(" + ",".join(map(str, c)) + ")"))])
     drawn = F.element_at(table, F.least(F.size(res), F.lit(30)))
-    pairs = F.array_sort(F.zip_with(last(res, 30), drawn, lambda r, c: F.struct(F.greatest(F.lit(0.0), r + p).alias("v"), c.alias("c"))))
-    runs = F.aggregate(
-        pairs,
-        F.struct(F.lit(0).alias("n"), F.array().cast("array<struct<v:double,upto:int>>").alias("a")),
-        lambda s, e: F.struct((s["n"] + e["c"]).alias("n"), F.concat(s["a"], F.array(F.struct(e["v"].alias("v"), (s["n"] + e["c"]).alias("upto")))).alias("a")),
-        lambda s: s["a"],
-    )
+    pairs = F.sort_array(F.zip_with(last(res, 30), drawn, lambda r, c: F.struct(r.alias("v"), c.alias("c"))))
+    wanted = [k for lo, hi, _ in PLACES for k in (lo, hi)]
+    none = F.lit(None).cast("double")
 
-    def at(k: int) -> Column:
-        return F.get(F.filter(runs, lambda e: e["upto"] > k), F.lit(0))["v"]
+    def step(s: Column, e: Column) -> Column:
+        upto = s["n"] + e["c"]
+        return F.struct(upto.alias("n"), *[F.coalesce(s[f"s{k}"], F.when(upto > k, e["v"])).alias(f"s{k}") for k in dict.fromkeys(wanted)])
 
-    def percentile(share: float) -> Column:
-        x = share * 999
-        lo = int(x)
-        return at(lo) + (at(min(lo + 1, 999)) - at(lo)) * F.lit(x - lo)
+    zero = F.struct(F.lit(0).alias("n"), *[none.alias(f"s{k}") for k in dict.fromkeys(wanted)])
+    found = F.aggregate(pairs, zero, step, lambda s: F.array(*[s[f"s{k}"] for k in wanted]))
+    return F.when(F.coalesce(F.size(res), F.lit(0)) >= 3, found)
 
-    q = [F.when(p == 0, F.lit(0.0)).when(F.coalesce(F.size(res), F.lit(0)) < 3, log(k)).otherwise(percentile(s)) for k, s in enumerate((0.5, 0.8, 0.9))]
-    s = F.array_sort(F.array(*q))
-    return F.struct(p.alias("mean"), F.get(s, F.lit(0)).alias("p50"), F.get(s, F.lit(1)).alias("p80"), F.get(s, F.lit(2)).alias("p90"))
+
+def quantiles_from(point: Column, stats: Column, pattern: Column) -> Column:
+    """struct<mean, p50, p80, p90> about a point, from `order_statistics`; log-normal factors by pattern where that is null."""
+    p = F.greatest(F.lit(0.0), point)
+    factors = spread_quantiles()
+    log = lambda k: p * F.coalesce(F.element_at(F.create_map(*[x for name, f in factors.items() for x in (F.lit(name), F.lit(f[k]))]), pattern), F.lit(factors[""][k]))
+    at = lambda k: F.greatest(F.lit(0.0), p + F.get(stats, F.lit(k)))
+    drawn = [at(2 * k) + (at(2 * k + 1) - at(2 * k)) * F.lit(w) for k, (_, _, w) in enumerate(PLACES)]
+    q = [F.when(p == 0, F.lit(0.0)).when(stats.isNull(), log(k)).otherwise(drawn[k]) for k in range(3)]
+    return F.struct(p.alias("mean"), F.least(*q).alias("p50"), F.greatest(F.least(q[0], q[1]), F.least(q[1], q[2]), F.least(q[0], q[2])).alias("p80"), F.greatest(*q).alias("p90"))
+
+
+def bootstrap_quantiles(point: Column, res: Column, pattern: Column) -> Column:
+    """struct<mean, p50, p80, p90>: resampled residuals about a point, or log-normal factors under three residuals."""
+    return quantiles_from(point, order_statistics(res), pattern)
