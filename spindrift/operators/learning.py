@@ -158,15 +158,21 @@ def thompson_update(state: DataFrame, tested: DataFrame) -> DataFrame:
 def top_volume(totals: DataFrame, share: float = 0.2) -> DataFrame:
     """(sku, total, criticality): "A" for the largest max(1, round(n * share)) items, "B" for the others; ties by sku.
 
-    The cut is one value found by a top-k aggregate of the bounded count, so items are never sorted in one task.
+    A histogram of log totals (bounded, summed map-side) finds the one bin in which the cut falls; only that
+    bin's items are put in order, the others are labelled by their bin.
     """
-    n = totals.count()
-    k = max(1, round(n * share))
-    edge = totals.select(F.struct(F.col("total"), F.col("sku")).alias("x")).orderBy(F.desc("x.total"), F.asc("x.sku")).limit(k).orderBy(F.asc("x.total"), F.desc("x.sku")).limit(1).select("x.total", "x.sku")
-    e = F.broadcast(edge.select(F.col("total").alias("_t"), F.col("sku").alias("_s")))
-    j = totals.join(e, F.lit(True), "left")
-    top = (F.col("total") > F.col("_t")) | ((F.col("total") == F.col("_t")) & (F.col("sku") <= F.col("_s")))
-    return j.select("sku", "total", F.when(top, "A").otherwise("B").alias("criticality"))
+    b = totals.withColumn("_b", F.floor(256 * F.log2(F.greatest(F.coalesce(F.col("total"), F.lit(0)), F.lit(0)) + 1)))
+    counts = sorted(((r["_b"], r["count"]) for r in b.groupBy("_b").count().collect()), reverse=True)
+    left = max(1, round(sum(n for _, n in counts) * share))
+    edge = 0
+    for edge, n in counts:
+        if n >= left:
+            break
+        left -= n
+    clear = b.where(F.col("_b") != edge).select("sku", "total", F.when(F.col("_b") > edge, "A").otherwise("B").alias("criticality"))
+    rank = F.row_number().over(Window.partitionBy("_b").orderBy(F.desc("total"), F.asc("sku")))
+    tight = b.where(F.col("_b") == edge).select("sku", "total", F.when(rank <= left, "A").otherwise("B").alias("criticality"))
+    return clear.unionByName(tight)
 
 
 def accuracy_rollups(errors: DataFrame) -> DataFrame:
