@@ -30,14 +30,20 @@ def _level(q: Column, model: Column, alpha: Column) -> Column:
     return F.when(model == "naive_forecast", M.naive_level(q)).when(model == "croston", M.croston_rate(q, alpha)).otherwise(M.ses_level(q, alpha))
 
 
+def _array(values) -> Column:
+    return F.array(*[F.lit(v) for v in values])
+
+
 def tuned(s: DataFrame) -> DataFrame:
     """`s` (sku, q, model) with alpha and val_mape: the smoothing with the least error on the last 14 rows, first of equals.
 
-    The grid is five columns of errors and an argmin in the row; a failed or undefined error counts 1, capped at 99.
+    The grid is an array of levels, an array of errors and an argmin in the row; a failed or undefined error counts 1, capped at 99.
     """
     s = R.split(s, P.HOLDOUT_ROWS)
-    found = [F.struct(F.least(F.coalesce(R.errors(F.col("test"), _level(F.col("train"), F.col("model"), F.lit(a)))["mape"], F.lit(1.0)), F.lit(99.0)).alias("mape"), F.lit(k).alias("k"), F.lit(a).alias("alpha")) for k, a in enumerate(M.SES_GRID)]
-    return s.withColumn("_b", F.array_min(F.array(*found))).withColumns({"alpha": F.col("_b.alpha"), "val_mape": F.col("_b.mape")}).drop("_b", "train", "test")
+    s = s.withColumn("_l", F.transform(_array(M.SES_GRID), lambda a: _level(F.col("train"), F.col("model"), a)))
+    found = F.transform("_l", lambda x, k: F.struct(F.least(F.coalesce(R.errors(F.col("test"), x)["mape"], F.lit(1.0)), F.lit(99.0)).alias("mape"), k.alias("k")))
+    s = s.withColumn("_b", F.array_min(found)).withColumns({"alpha": F.get(_array(M.SES_GRID), F.col("_b.k")), "val_mape": F.col("_b.mape")})
+    return s.drop("_l", "_b", "train", "test")
 
 
 def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
@@ -53,18 +59,21 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     s = s.withColumn("_f", _level(F.col("train"), F.col("model"), F.col("alpha"))).withColumn("_e", R.errors(F.col("test"), F.col("_f")))
     s = R.with_flags(s.withColumn("mape", F.col("_e.mape")), F.col("mape"))
     s = s.withColumns({"level": _level(F.col("q"), F.col("model"), F.col("alpha")), "_h": M.holt_state(F.col("q"), F.col("alpha")), "factor": S.oos_factor(F.col("pattern"), F.col("oos_pct"), F.col("detection"))})
-    holt = F.col("model") == "holts_linear_trend"
-    raw = [F.when(holt, M.holt_total(F.col("_h"), h)).otherwise(F.greatest(F.lit(0.0), F.col("level")) * h) * F.col("factor") for h in P.HORIZONS]
+    days, holt = _array(P.HORIZONS), F.col("model") == "holts_linear_trend"
+    totals = F.when(holt, F.transform(days, lambda h: M.holt_total(F.col("_h"), h))).otherwise(F.transform(days, lambda h: F.greatest(F.lit(0.0), F.col("level")) * h))
     if seasonal:
-        fit = A.seasonal_forecast(s.where("model = 'prophet'").select("sku", "q"))
+        fit = A.seasonal_forecast(s.where("model = 'prophet'").select("sku", "q")).select("sku", F.array(*[f"h{h}" for h in P.HORIZONS]).alias("_s"))
         s = s.join(fit, "sku", "left")
-        raw = [F.when(F.col("model") == "prophet", F.col(f"h{h}") * F.col("factor")).otherwise(x) for h, x in zip(P.HORIZONS, raw)]
-    s = s.withColumns({f"t{h}": x for h, x in zip(P.HORIZONS, R.cap_horizons(raw, F.col("max_horizon")))})
+        totals = F.when(F.col("model") == "prophet", F.col("_s")).otherwise(totals)
+    # totals per horizon, held flat beyond the effective horizon
+    s = s.withColumns({"_x": F.transform(totals, lambda x: x * F.col("factor")), "_k": F.size(F.filter(days, lambda h: h <= F.col("max_horizon")))})
+    s = s.withColumn("_t", F.transform("_x", lambda x, i: F.when((i < F.col("_k")) | (F.col("_k") == 0), x).otherwise(F.get("_x", F.col("_k") - 1))))
     s = s.withColumn("_r", M.residuals(F.col("q"), F.when(F.col("model").isin("naive_forecast", "croston"), F.col("level")).otherwise(F.col("_f"))))
     s = s.withColumn("_o", M.order_statistics(F.col("_r")))
-    s = s.withColumns({f"forecast_{h}d": M.quantiles_from(F.col(f"t{h}"), F.col("_o"), F.col("pattern")) for h in P.HORIZONS})
+    s = s.withColumn("_q", F.transform("_t", lambda x: M.quantiles_from(x, F.col("_o"), F.col("pattern"))))
+    s = s.withColumns({f"forecast_{h}d": F.get("_q", F.lit(i)) for i, h in enumerate(P.HORIZONS)})
     base = M.mean(M.last(F.col("q"), P.REASONABLE_BASELINE_ROWS))
-    odd, mult = S.reasonableness(p, F.col("t30"), base, F.col("n"))
+    odd, mult = S.reasonableness(p, F.get("_t", F.lit(P.HORIZONS.index(P.REASONABLE_HORIZON))), base, F.col("n"))
     s = s.withColumn("flags", F.concat("flags", odd)).withColumn("_m", mult)
     no = F.lit(False)
     c = S.confidence(p, F.col("pattern"), F.col("mape"), F.col("flags"), F.col("gap"), F.col("upstream"), F.col("bias"), no, no, F.col("_m"))
