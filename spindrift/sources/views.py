@@ -16,15 +16,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def daily_demand(spark: SparkSession, sf_dir: str, grain: str = "part") -> DataFrame:
     """(sku, d, qty): one row per item and day with sales. Quantities are summed map-side before the shuffle."""
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", F.to_date("l_shipdate").alias("d"), "l_quantity")
+    raw = table(spark, sf_dir, "lineitem")
+    li = raw.select("l_partkey", F.to_date("l_shipdate").alias("d"), "l_quantity")
     if grain != "part":
         li = li.join(table(spark, sf_dir, "part").select("p_partkey", GRAINS[grain]), F.col("l_partkey") == F.col("p_partkey"))
-    return li.groupBy(F.col(GRAINS[grain]).alias("sku"), "d").agg(F.sum("l_quantity").alias("qty"))
+    out = li.groupBy(F.col(GRAINS[grain]).alias("sku"), "d").agg(F.sum("l_quantity").alias("qty"))
+    out._last_day = raw.agg(F.to_date(F.max("l_shipdate")).alias("d"))  # of one scanned column, not of the sums
+    return out
 
 
 def as_of(demand: DataFrame) -> Column:
     """The last day of the data as a scalar subquery; nothing reads the clock."""
-    return demand.agg(F.max("d").alias("d")).scalar()
+    last = getattr(demand, "_last_day", None)
+    return (demand.agg(F.max("d").alias("d")) if last is None else last).scalar()
 
 
 def trailing(demand: DataFrame, days: int) -> DataFrame:
