@@ -178,3 +178,20 @@ def ceiling_horizon(days: Column) -> Column:
 
 def execution_mode(hours_since_complete: Column, limit: Column | float) -> Column:
     return F.when(hours_since_complete.isNull() | (hours_since_complete >= limit), "full").otherwise("micro")
+
+
+def reliable_features(features: Column, reliability: Column, floor: Column | float) -> Column:
+    """The features whose reliability (a map; none counts 0) reaches the floor, in their order."""
+    low = floor if isinstance(floor, Column) else F.lit(floor)
+    return F.filter(features, lambda f: F.coalesce(F.try_element_at(reliability, f), F.lit(0.0)) >= low)
+
+
+def window_key(*parts: Column) -> Column:
+    """A stable id of an evaluation window, in the form of a UUID."""
+    h = F.sha2(F.concat_ws("|", *[p.cast("string") for p in parts]), 256)
+    return F.concat_ws("-", F.substring(h, 1, 8), F.substring(h, 9, 4), F.substring(h, 13, 4), F.substring(h, 17, 4), F.substring(h, 21, 12))
+
+
+def safe_decimal(text: Column, precision: int = 12, scale: int = 6) -> Column:
+    """A decimal from text; null for anything that is not a number of that size."""
+    return text.try_cast(f"decimal({precision},{scale})")

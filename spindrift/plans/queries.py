@@ -813,3 +813,22 @@ def forecast_run(spark, d):
     f = W.run(s, P.defaults())
     quant = [_r(f"forecast_{h}d.{q}", 3).alias(f"{q}_{h}d") for h in (7, 30, 365) for q in ("p50", "p90")]
     return f.select("sku", "n", "pattern", "model", "alpha", "window", _r("mape", 4).alias("mape"), F.array_join("flags", "|").alias("flags"), "quantile", *quant, _r("confidence", 4).alias("confidence"), "tier", "status", "risk")
+
+
+@query("SELECT p_partkey AS sku, array_to_string(list_filter(['promo', 'weekend', 'season', 'price'], lambda f: CASE f WHEN 'promo' THEN p_size / 50.0 WHEN 'weekend' THEN (p_size % 10) / 10.0 WHEN 'season' THEN 0.3 ELSE 0.0 END >= 0.3), ',') AS features FROM part")
+def feature_reliability_floor(spark, d):
+    names = F.array(*[F.lit(x) for x in ("promo", "weekend", "season", "price")])
+    known = F.create_map(F.lit("promo"), F.col("p_size") / 50.0, F.lit("weekend"), (F.col("p_size") % 10) / 10.0, F.lit("season"), F.lit(0.3).cast("double"))
+    return V.table(spark, d, "part").select(F.col("p_partkey").alias("sku"), F.array_join(S.reliable_features(names, known, P.DEFAULTS["feature_reliability_floor"]), ",").alias("features"))
+
+
+@query("SELECT DISTINCT p_brand AS style, c AS cut, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-' || substr(h, 13, 4) || '-' || substr(h, 17, 4) || '-' || substr(h, 21, 12) AS id FROM (SELECT p_brand, c, sha256(p_brand || '|' || c) AS h FROM part, (VALUES (200), (300)) t(c))")
+def window_keys(spark, d):
+    b = V.table(spark, d, "part").select(F.col("p_brand").alias("style")).distinct().withColumn("cut", F.explode(F.array(F.lit(200), F.lit(300))))
+    return b.select("style", "cut", S.window_key(F.col("style"), F.col("cut")).alias("id"))
+
+
+@query("SELECT c_custkey, TRY_CAST(CASE WHEN c_custkey % 3 = 0 THEN 'x' || c_acctbal ELSE CAST(c_acctbal AS VARCHAR) END AS DECIMAL(12, 6))::DOUBLE AS amount FROM customer")
+def safe_decimal_coercion(spark, d):
+    text = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("x"), F.col("c_acctbal").cast("string"))).otherwise(F.col("c_acctbal").cast("string"))
+    return V.table(spark, d, "customer").select("c_custkey", S.safe_decimal(text).cast("double").alias("amount"))

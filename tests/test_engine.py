@@ -137,3 +137,14 @@ def test_stream_equals_batch(spark, tmp_path):
         G.run_once(G.tumbling(events), sink, str(tmp_path / "cp")).awaitTermination()
     batch = G.tumbling(spark.read.parquet(src).withColumn("ts", F.col("ts").cast("timestamp"))).collect()
     assert seen == {(r["start"], r["event_type"]): (r["n"], r["total"]) for r in batch}
+
+
+def test_feature_search_and_fallback(spark):
+    from spindrift.plans import tuning
+
+    table = {(): 0.5, ("a",): 0.495, ("b",): 0.3, ("b", "c"): 0.07}
+    got = tuning.feature_search([], ["a", "b", "c", "d"], lambda f: table.get(tuple(f), 0.4))
+    assert got == (["b", "c"], 0.07)
+    full = spark.createDataFrame([("x", 1.0), ("y", 2.0)], "sku string, level double")
+    out = {r["sku"]: (r["level"], r["used_fallback"]) for r in tuning.with_fallback(full.where("sku = 'x'").withColumn("level", F.lit(9.0)), full).collect()}
+    assert out == {"x": (9.0, False), "y": (2.0, True)}
