@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -43,6 +45,13 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of steps that nothing refers to any more; it does so only when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+    time.sleep(1)
+
+
 #: Rows of a narrow table (ids, hashes) that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 1_000_000
 

@@ -1,6 +1,6 @@
 """Line dedup by an exact set-similarity join.
 
-A line is a \\n-split piece of a text; its tokens are its different lower-case words. A line with at least
+A line is a piece between newlines of a text; its tokens are its different lower-case words. A line with at least
 `MIN_TOKENS` tokens goes if an earlier line (by doc_id, then line number) has the same tokens or tokens at
 Jaccard similarity `SIMILARITY` = 0.8 or more. It goes whether or not the earlier line goes itself, so the
 result does not depend on the order of work. Shorter lines stay.
@@ -8,13 +8,18 @@ result does not depend on the order of work. Shorter lines stay.
 The join follows PPJoin (Xiao et al., 2008). Tokens are ordered by rarity: word counts over the whole
 corpus, kept per hash bucket, give each token a rarity class; the class and 57 bits of hash make its key.
 Any common order is exact; rarity only keeps prefix groups small. Pairs must share a key of their
-prefixes, and pass the length filter, the positional filter and a 64-bit bitmap of the tokens (Sandes et
-al., 2017: the bitmaps differ in no more bits than the sets in tokens). What is left is verified by the
-exact Jaccard of keys read again from the texts of the lines concerned.
+prefixes, and pass the length filter, the positional filter and a 64-bit parity sketch of the keys (two
+sketches differ in no more bits than the sets in tokens; compare the bitmap filter of Sandes et al., 2017).
+What is left is verified by the exact Jaccard of keys read again from the lines concerned: of each line's
+candidates the earliest first, and the others only where that one fails.
 
-Skew: equal lines are one class before any prefix is dealt out. Lines that vary one text are first held
-against the earliest line that shares one of their rarest keys; a class found similar there is settled
-and only unsettled classes search on, so a group of near copies costs rows in proportion to its size.
+Words are cut and hashed in Arrow batches, as the same in SQL functions takes more than twice the CPU time (see
+README); ordering, filters, joins and verification are DataFrame functions.
+
+Skew: equal lines are one class before any prefix is dealt out. Where one of a class's rarest keys is
+common, the class is first held against the earliest line that has the key; a class found similar there
+is settled and only unsettled classes search on, so a group of near copies costs rows in proportion to its
+size.
 
 Results for odd input: null text has no lines and stays null; empty lines stay; rows with a null doc_id
 come last in the order and are judged by it (removed lines are found by doc_id, so all rows that share an
@@ -26,69 +31,174 @@ of other names are left alone.
 from __future__ import annotations
 
 import math
+from array import array
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, guarded, literal_longs, words
+from .common import cut, discard, guarded, release
 
 SIMILARITY = 0.8
 MIN_TOKENS = 5
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
 CLASS_BITS = 57
-#: Rarest keys by which a line meets the earliest line that has the key, before the full join.
+LOW = (1 << CLASS_BITS) - 1
+#: Of a class's rarest keys, how many bring it to the earliest line that has the key, if `COMMON` or more classes do.
 PIVOTS = 3
+COMMON = 32
+#: Documents and lines up to which the removed line numbers are broadcast to the texts.
+SMALL_DOCS, SMALL_LINES = 400_000, 4_000_000
+#: Word keys that a task remembers, and hashes that it adds to its counts at once.
+HELD = 300_000
+#: Bits of the set's size and of the place in the prefix, which share a long with the rest of a prefix row's key.
+SIZE_BITS, PLACE_BITS = 12, 10
+PACKED = SIZE_BITS + PLACE_BITS
 
 
-def rarity(docs: DataFrame) -> list[int]:
+def rarity(docs: DataFrame) -> bytes:
     """The rarity class (0..63, rarest first) of each hash bucket, from the counts of all words."""
-    hashes = docs.select(F.explode(words(F.lower("text"))).alias("w")).select(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("b"))
-    out = [0] * BUCKETS
-    for b, n in hashes.groupBy("b").count().collect():  # at most BUCKETS rows
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from xxhash import xxh64_intdigest as digest
+
+        total, held = np.zeros(BUCKETS, dtype=np.int64), []
+        low = BUCKETS - 1
+        for b in batches:
+            for t in b["text"]:
+                if t:
+                    held += [digest(w) & low for w in t.lower().encode().split()]
+                    if len(held) > HELD:
+                        total += np.bincount(held, minlength=BUCKETS)
+                        held = []
+        total += np.bincount(np.array(held, dtype=np.int64), minlength=BUCKETS)
+        at = np.nonzero(total)[0]
+        yield pd.DataFrame({"b": at, "n": total[at]})
+
+    out = bytearray(BUCKETS)
+    sums = docs.select("text").mapInPandas(count, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
+    for b, n in sums.collect():  # at most BUCKETS rows
         out[b] = min(63, int(1.5 * math.log2(n)))
+    return bytes(out)
+
+
+class Keys:
+    """Words to keys: the rarity class above 57 bits of hash."""
+
+    def __init__(self, classes: bytes):
+        from xxhash import xxh64_intdigest
+
+        self.classes, self.digest, self.held = classes, xxh64_intdigest, {}
+
+    def of(self, line: str) -> list[int]:
+        """The ordered keys of a line's tokens."""
+        held, out = self.held, set()
+        for w in line.lower().encode().split():
+            k = held.get(w)
+            if k is None:
+                h = self.digest(w)
+                k = self.classes[h & (BUCKETS - 1)] << CLASS_BITS | h & LOW
+                if len(held) >= HELD:
+                    held.clear()
+                held[w] = k
+            out.add(k)
+        return sorted(out)
+
+    def cls(self, keys: list[int]) -> int:
+        """The signed 64-bit hash that names a token set."""
+        h = self.digest(array("Q", keys).tobytes())
+        return h - (1 << 64) if h >> 63 else h
+
+
+def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
+    """(doc_id, line_no, cls, n, sig, prefix) of every line with enough tokens; sig: a parity sketch."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "line_no", "cls", "n", "sig", "prefix"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Keys(classes)
+        for b in batches:
+            rows = []
+            for i, t in zip(b["doc_id"], b["text"]):
+                for k, line in enumerate((t or "").split("\n")):
+                    if len(line) < 2 * MIN_TOKENS - 1:
+                        continue
+                    keys = words.of(line)
+                    n = len(keys)
+                    if n >= MIN_TOKENS:
+                        sig = 0
+                        for x in keys:
+                            sig ^= 1 << (x & 63)
+                        rows.append((i, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1]))
+                if len(rows) >= 20_000:
+                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
+                    rows = []
+            yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
+
+    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, line_no int, cls bigint, n int, sig bigint, prefix array<bigint>")
+
+
+def _rows(one: DataFrame, prefix: Column, *more: str) -> DataFrame:
+    """One row per class and prefix key: k (the key's low bits, the size and the place from 0, packed), sig, cls.
+
+    A shortened key, or a size at its limit (then with place 0), can only let more pairs through to verification.
+    """
+    top = (1 << SIZE_BITS) - 1
+    d = one.select("cls", "n", "sig", *more, F.posexplode(prefix).alias("at", "key"))
+    place = F.when((F.col("n") < top) & (F.col("at") < (1 << PLACE_BITS)), F.col("at")).otherwise(0).cast("long")
+    size = F.shiftleft(F.least(F.col("n"), F.lit(top)).cast("long"), PLACE_BITS)
+    return d.select(F.shiftleft("key", PACKED).bitwiseOR(size).bitwiseOR(place).alias("k"), "sig", "cls", *more)
+
+
+def _met(x: DataFrame, y: DataFrame) -> DataFrame:
+    """x and y joined on a shared key, thinned by the length, positional and sketch filters."""
+    key = lambda s: F.shiftright(F.col(f"{s}.k"), PACKED)
+    n = lambda s: F.shiftright(F.col(f"{s}.k"), PLACE_BITS).bitwiseAND((1 << SIZE_BITS) - 1)
+    room = lambda s: n(s) - F.col(f"{s}.k").bitwiseAND((1 << PLACE_BITS) - 1)
+    both = n("x") + n("y")
+    apart = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig")))
+    length = 5 * F.least(n("x"), n("y")) >= 4 * F.greatest(n("x"), n("y"))
+    return x.alias("x").join(y.alias("y"), key("x") == key("y")).where(length & (9 * F.least(room("x"), room("y")) >= 4 * both) & (9 * apart <= both))
+
+
+def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: bytes) -> DataFrame:
+    """The (later, earlier) of `pairs` whose token sets really have the similarity. `places`: cls, p (a line with the set)."""
+    ids = guarded(cut(pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()))
+    where = cut(places.join(ids, "cls", "left_semi").groupBy(F.col("p.d").alias("_id")).agg(F.collect_set("p.l").alias("_ls")))
+    again = docs.select("doc_id", "text").join(guarded(where, 200_000), F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "_ls")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words = Keys(classes)
+        for b in batches:
+            rows = []
+            for t, wanted in zip(b["text"], b["_ls"]):
+                lines = (t or "").split("\n")
+                for k in wanted:
+                    if k < len(lines):
+                        keys = words.of(lines[k])
+                        wide = 0
+                        for x in keys:
+                            wide ^= 1 << (x & 255)
+                        rows.append((words.cls(keys), keys, list(memoryview(wide.to_bytes(32, "little")).cast("q"))))
+            yield pd.DataFrame(rows, columns=["cls", "keys", "wide"])
+
+    # a class comes from one line; where ids are tied it may come twice, which only repeats a result
+    keys = cut(again.mapInPandas(run, "cls bigint, keys array<bigint>, wide array<bigint>").join(ids, "cls", "left_semi"))
+    # a sketch of 256 bits first: few pairs that are not similar meet the keys themselves
+    slim = keys.select("cls", F.size("keys").alias("n"), "wide")
+    a, b = slim.toDF("later", "na", "wa"), slim.toDF("earlier", "nb", "wb")
+    apart = sum((F.bit_count(F.get("wa", F.lit(i)).bitwiseXOR(F.get("wb", F.lit(i)))) for i in range(1, 4)), F.bit_count(F.get("wa", F.lit(0)).bitwiseXOR(F.get("wb", F.lit(0)))))
+    pairs = cut(pairs.join(a, "later").join(b, "earlier").where(9 * apart <= F.col("na") + F.col("nb")).select("later", "earlier").distinct())
+    release(docs.sparkSession)
+    a, b = keys.select(F.col("cls").alias("later"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("earlier"), F.col("keys").alias("kb"))
+    both = pairs.join(a, "later").join(b, "earlier").withColumn("o", F.size(F.array_intersect("ka", "kb")))
+    out = cut(both.where(9 * F.col("o") >= 4 * (F.size("ka") + F.size("kb"))).select("later", "earlier"))
+    discard(keys)
     return out
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no, line), null doc_ids included."""
-    return docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-
-
-def _keys(line: Column, classes: Column) -> Column:
-    hashed = F.array_distinct(F.transform(words(F.lower(line)), lambda w: F.xxhash64(w)))
-    low = (1 << CLASS_BITS) - 1
-    key = F.transform(hashed, lambda h: F.shiftleft(F.get(classes, h.bitwiseAND(BUCKETS - 1).cast("int")), CLASS_BITS).bitwiseOR(h.bitwiseAND(low)))
-    return F.sort_array(key)
-
-
-def _sets(lines: DataFrame, classes: list[int]) -> DataFrame:
-    keyed = lines.withColumn("keys", _keys(F.col("line"), literal_longs(classes))).drop("line")
-    return keyed.withColumn("n", F.size("keys")).where(F.col("n") >= MIN_TOKENS).withColumn("cls", F.xxhash64("keys"))
-
-
-def _near(x: str, y: str) -> Column:
-    """The filters on a pair that shares key number x.at and y.at of its prefixes."""
-    c = lambda side, name: F.col(f"{side}.{name}")
-    need = 4 * (c(x, "n") + c(y, "n"))
-    room = F.least(c(x, "n") - c(x, "at"), c(y, "n") - c(y, "at"))
-    apart = F.bit_count(c(x, "sig").bitwiseXOR(c(y, "sig")))
-    length = 5 * F.least(c(x, "n"), c(y, "n")) >= 4 * F.greatest(c(x, "n"), c(y, "n"))
-    return length & (9 * room >= need) & (9 * (c(x, "n") + c(y, "n") - apart) >= 2 * need)
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, docs: DataFrame, classes: list[int]) -> DataFrame:
-    """The (a, b) of `pairs` whose token sets really have the similarity."""
-    ids = cut(pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct())
-    held = sets.join(guarded(ids), "cls", "left_semi")
-    where = guarded(cut(held.where("doc_id is not null").select("doc_id").distinct()))
-    again = docs.select("doc_id", "text").join(where, "doc_id", "left_semi").unionByName(docs.select("doc_id", "text").where("doc_id is null"))
-    keys = _sets(_lines(again), classes).join(guarded(ids), "cls", "left_semi").select("cls", "keys")
-    keys = cut(keys.groupBy("cls").agg(F.min("keys").alias("keys")))
-    a, b = keys.select(F.col("cls").alias("a"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("b"), F.col("keys").alias("kb"))
-    both = pairs.join(a, "a").join(b, "b").withColumn("o", F.size(F.array_intersect("ka", "kb")))
-    return cut(both.where(9 * F.col("o") >= 4 * (F.size("ka") + F.size("kb"))).select("a", "b"))
-
-
 def _place() -> Column:
     """A line's place in the order; null doc_ids last."""
     return F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
@@ -98,36 +208,46 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     """(doc_id, line_no) of the lines that go."""
     docs = docs.select("doc_id", "text")
     classes = rarity(docs)
-    size = F.col("n")
-    prefix = F.slice("keys", F.lit(1), size - F.ceil(size * 4 / 5).cast("int") + 1)
-    sig = F.aggregate("keys", F.lit(0).cast("long"), lambda a, k: a.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), k.bitwiseAND(63).cast("int"))))
-    sets = cut(_sets(_lines(docs), classes).select("doc_id", "line_no", "cls", "n", sig.alias("sig"), prefix.alias("prefix")))
+    sets = cut(_sets(docs, classes))
     equal = cut(sets.groupBy("cls").agg(F.min(_place()).alias("first"), F.count("*").alias("m")).where("m > 1").select("cls", "first"))
     one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", "n", "sig", "prefix", _place().alias("p"))
-
-    # each class against the earliest one with one of its rarest keys
-    heads = one.select("cls", "n", "sig", "p", F.posexplode(F.slice("prefix", 1, PIVOTS)).alias("at", "key"))
-    pivots = heads.groupBy("key").agg(F.min(F.struct("p", "cls", "n", "sig", "at")).alias("v"), F.count("*").alias("m")).where("m > 1").select("key", "v.*")
-    met = heads.alias("x").join(pivots.alias("y"), "key").where((F.col("x.cls") != F.col("y.cls")) & _near("x", "y")).select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b"))
-    settled = _verified(cut(met.distinct()), sets, docs, classes)
-
-    # the rest against all
-    done = guarded(cut(settled.select(F.col("a").alias("cls")).distinct()))
-    spread = lambda d: d.select("cls", "n", "sig", F.posexplode("prefix").alias("at", "key"))
-    todo, past = spread(one.join(done, "cls", "left_anti")), spread(one.join(done, "cls", "left_semi"))
+    light = cut(sets.select("doc_id", "line_no", "cls"))
+    places = light.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", _place().alias("p"))
+
+    # where a rare key is common, each class against the earliest one that has it
+    rare = F.slice("prefix", 1, PIVOTS)
+    key = F.shiftright("k", PACKED)
+    common = _rows(one, rare).groupBy(key.alias("_k")).count().where(F.col("count") >= COMMON).select("_k")
+    heads = _rows(one, rare, "p").join(guarded(cut(common)), F.col("_k") == key, "left_semi")
+    pivots = heads.groupBy(key).agg(F.min(F.struct("p", "k", "sig", "cls")).alias("v")).select("v.k", "v.sig", "v.cls")
+    met = _met(heads.drop("p"), pivots).where(F.col("x.cls") != F.col("y.cls")).select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier"))
+    settled = _verified(cut(met.distinct()), places, docs, classes).select("later").distinct()
+
+    release(docs.sparkSession)
+
+    # the rest against all: first each class and its earliest candidate, then the candidates of those still unsettled
+    done = guarded(cut(settled.withColumnRenamed("later", "cls")))
+    todo, past = _rows(one.join(done, "cls", "left_anti"), F.col("prefix")), _rows(one.join(done, "cls", "left_semi"), F.col("prefix"))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
-    own = todo.alias("x").join(todo.alias("y"), "key").where((F.col("x.cls") < F.col("y.cls")) & _near("x", "y")).select(*ends)
-    other = todo.alias("x").join(past.alias("y"), "key").where(_near("x", "y")).select(*ends)
-    found = _verified(cut(own.unionByName(other).distinct()), sets, docs, classes)
-
-    links = settled.unionByName(found)
-    links = cut(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    ids = guarded(cut(links.select(F.col("a").alias("cls")).distinct()))
-    firsts = sets.join(ids, "cls", "left_semi").groupBy("cls").agg(F.min(_place()).alias("first"))
-    reach = links.join(firsts.withColumnRenamed("cls", "b"), "b").select(F.col("a").alias("cls"), "first")
-    bound = cut(equal.unionByName(reach).groupBy("cls").agg(F.min("first").alias("first")))
-    gone = sets.join(guarded(bound), "cls").where(_place() > F.col("first")).select("doc_id", "line_no")
-    return gone.distinct()
+    found = cut(_met(todo, todo).where(F.col("x.cls") < F.col("y.cls")).select(*ends).unionByName(_met(todo, past).select(*ends)).distinct())
+    discard(sets)
+    release(docs.sparkSession)
+    ids = guarded(cut(found.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
+    at = cut(places.join(ids, "cls", "left_semi").groupBy("cls").agg(F.min("p").alias("p")))
+    named = found.join(at.select(F.col("cls").alias("a"), F.col("p").alias("pa")), "a").join(at.select(F.col("cls").alias("b"), F.col("p").alias("pb")), "b")
+    first = F.col("pa") < F.col("pb")
+    pairs = named.select(F.when(first, F.col("b")).otherwise(F.col("a")).alias("later"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("earlier"), F.least("pa", "pb").alias("p"))
+    pairs = cut(pairs.join(done.withColumnRenamed("cls", "later"), "later", "left_anti"))
+    early = cut(pairs.groupBy("later").agg(F.min(F.struct("p", "earlier")).alias("e")).select("later", "e.earlier"))
+    sure = _verified(early, at, docs, classes).select("later")
+    rest = cut(pairs.select("later", "earlier").join(guarded(sure), "later", "left_anti").join(early, ["later", "earlier"], "left_anti"))
+    more = _verified(rest, at, docs, classes).select("later") if not rest.isEmpty() else sure.limit(0)
+
+    # all lines of a class with an earlier partner, and all but the first of equal lines
+    gone = guarded(cut(done.unionByName(sure.unionByName(more).distinct().withColumnRenamed("later", "cls")).distinct()))
+    near = light.join(gone, "cls", "left_semi").select("doc_id", "line_no")
+    same = light.join(guarded(equal), "cls").where(_place() > F.col("first")).select("doc_id", "line_no")
+    return near.unionByName(same).distinct()
 
 
 def line_report(docs: DataFrame) -> DataFrame:
@@ -142,10 +262,13 @@ def line_report(docs: DataFrame) -> DataFrame:
 def line_dedup(docs: DataFrame) -> DataFrame:
     """`docs` with the lines gone from `text`; columns and rows as they are.
 
-    A text that loses all lines becomes empty. Only texts that lose a line meet the join's other side.
+    A text that loses all lines becomes empty. The removed line numbers are broadcast while there are few
+    enough documents and numbers (both counted); else the texts are shuffled to them.
     """
     gone = cut(removed_lines(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone")))
-    j = docs.join(guarded(gone, 100_000), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    docs_, lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
+    small = F.broadcast(gone) if docs_ <= SMALL_DOCS and lines <= SMALL_LINES else gone
+    j = docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     rest = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
     text = F.when(F.col("_id").isNull() & F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return j.withColumn("text", text).select(*docs.columns)
