@@ -1,9 +1,10 @@
 """Line dedup by an exact set-similarity join.
 
-A line is a piece between newlines of a text; its tokens are its different lower-case words. A line with at least
-`MIN_TOKENS` tokens goes if an earlier line (by doc_id, then line number) has the same tokens or tokens at
-Jaccard similarity `SIMILARITY` = 0.8 or more. It goes whether or not the earlier line goes itself, so the
-result does not depend on the order of work. Shorter lines stay.
+A line is a piece between newlines of a text; its tokens are its different lower-case words. A line with
+tokens goes if an earlier line (by doc_id, then line number) has the same tokens or tokens at Jaccard
+similarity `SIMILARITY` = 0.8 or more. It goes whether or not the earlier line goes itself, so the result
+does not depend on the order of work. Sets of fewer than `LEAST_NEAR` = 4 tokens are similar only to equal
+ones, so they need no prefix rows; one of 4 can be similar to one of 5.
 
 The join follows PPJoin (Xiao et al., 2008). Tokens are ordered by rarity: word counts over the whole
 corpus, kept per hash bucket, give each token a rarity class; the class and 57 bits of hash make its key.
@@ -21,7 +22,7 @@ common, the class is first held against the earliest line that has the key; a cl
 is settled and only unsettled classes search on, so a group of near copies costs rows in proportion to its
 size.
 
-Results for odd input: null text has no lines and stays null; empty lines stay; rows with a null doc_id
+Results for odd input: null text has no lines and stays null; empty and blank lines stay; rows with a null doc_id
 come last in the order and are judged by it (removed lines are found by doc_id, so all rows that share an
 id, or have none, lose the same line numbers: of equal rows the lines are the same, and the first row
 keeps them because a line is never earlier than itself); an empty table gives an empty result; columns
@@ -42,7 +43,7 @@ from pyspark.sql import functions as F
 from .common import cut, discard, guarded, release
 
 SIMILARITY = 0.8
-MIN_TOKENS = 5
+LEAST_NEAR = 4
 BUCKETS = 1 << 17
 CLASS_BITS = 57
 LOW = (1 << CLASS_BITS) - 1
@@ -113,7 +114,7 @@ class Keys:
 
 
 def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
-    """(doc_id, line_no, cls, n, sig, prefix) of every line with enough tokens; sig: a parity sketch."""
+    """(doc_id, line_no, cls, n, sig, prefix) of every line with tokens; sig: a parity sketch; the prefix is empty under `LEAST_NEAR` tokens."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "line_no", "cls", "n", "sig", "prefix"]
 
@@ -123,15 +124,13 @@ def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
             rows = []
             for i, t in zip(b["doc_id"], b["text"]):
                 for k, line in enumerate((t or "").split("\n")):
-                    if len(line) < 2 * MIN_TOKENS - 1:
-                        continue
                     keys = words.of(line)
                     n = len(keys)
-                    if n >= MIN_TOKENS:
+                    if n:
                         sig = 0
                         for x in keys:
                             sig ^= 1 << (x & 63)
-                        rows.append((i, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1]))
+                        rows.append((i, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1] if n >= LEAST_NEAR else []))
                 if len(rows) >= 20_000:
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
                     rows = []

@@ -195,6 +195,13 @@ def test_line_dedup_odd(odd):
     assert E.line_report(odd.limit(0)).count() == 0
 
 
+def test_line_dedup_takes_short_lines(spark):
+    texts = [(1, "all rights reserved.\n\nhome\none two three four five\n \nx y z"), (2, "All rights  reserved.\n\none two three four\n \nx y"), (3, "two one four three\nhome home\nx y z w\na b c d"), (4, "d c b a\na b c d e\na b c\nhome")]
+    got = {(x["doc_id"], x["line_no"]) for x in E.removed_lines(spark.createDataFrame(texts, "doc_id bigint, text string")).collect()}
+    # equal sets of any size; 4 of 5 tokens is exactly 0.8; 3 of 4 and 2 of 3 are less
+    assert got == {(2, 0), (2, 2), (3, 0), (3, 1), (4, 0), (4, 1), (4, 3)}
+
+
 # ---- decontamination
 
 
