@@ -23,10 +23,10 @@ is settled and only unsettled classes search on, so a group of near copies costs
 size.
 
 Results for odd input: null text has no lines and stays null; empty and blank lines stay; rows with a null doc_id
-come last in the order and are judged by it (removed lines are found by doc_id, so all rows that share an
-id, or have none, lose the same line numbers: of equal rows the lines are the same, and the first row
-keeps them because a line is never earlier than itself); an empty table gives an empty result; columns
-of other names are left alone.
+come last in the order and are judged by it; rows that share an id, or have none, are told apart by the
+hash of their text, which also orders their lines of one number (repeats of a whole row are one row to the
+order, and keep the same lines); an empty table gives an empty result; columns of other names are left
+alone.
 """
 
 from __future__ import annotations
@@ -114,15 +114,15 @@ class Keys:
 
 
 def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
-    """(doc_id, line_no, cls, n, sig, prefix) of every line with tokens; sig: a parity sketch; the prefix is empty under `LEAST_NEAR` tokens."""
+    """(doc_id, h, line_no, cls, n, sig, prefix) of every line with tokens; sig: a parity sketch; the prefix is empty under `LEAST_NEAR` tokens."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "line_no", "cls", "n", "sig", "prefix"]
+    names = ["doc_id", "h", "line_no", "cls", "n", "sig", "prefix"]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Keys(classes)
         for b in batches:
             rows = []
-            for i, t in zip(b["doc_id"], b["text"]):
+            for i, h, t in zip(b["doc_id"], b["h"], b["text"]):
                 for k, line in enumerate((t or "").split("\n")):
                     keys = words.of(line)
                     n = len(keys)
@@ -130,13 +130,13 @@ def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
                         sig = 0
                         for x in keys:
                             sig ^= 1 << (x & 63)
-                        rows.append((i, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1] if n >= LEAST_NEAR else []))
+                        rows.append((i, h, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1] if n >= LEAST_NEAR else []))
                 if len(rows) >= 20_000:
                     yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
                     rows = []
             yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
 
-    return docs.select("doc_id", "text").mapInPandas(run, f"doc_id {kind}, line_no int, cls bigint, n int, sig bigint, prefix array<bigint>")
+    return docs.select("doc_id", "h", "text").mapInPandas(run, f"doc_id {kind}, h bigint, line_no int, cls bigint, n int, sig bigint, prefix array<bigint>")
 
 
 def _rows(one: DataFrame, prefix: Column, *more: str) -> DataFrame:
@@ -165,8 +165,8 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
 def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: bytes) -> DataFrame:
     """The (later, earlier) of `pairs` whose token sets really have the similarity. `places`: cls, p (a line with the set)."""
     ids = guarded(cut(pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()))
-    where = cut(places.join(ids, "cls", "left_semi").groupBy(F.col("p.d").alias("_id")).agg(F.collect_set("p.l").alias("_ls")))
-    again = docs.select("doc_id", "text").join(guarded(where, 200_000), F.col("doc_id").eqNullSafe(F.col("_id"))).select("text", "_ls")
+    where = cut(places.join(ids, "cls", "left_semi").groupBy(F.col("p.d").alias("_id"), F.col("p.h").alias("_th")).agg(F.collect_set("p.l").alias("_ls")))
+    again = docs.select("doc_id", "h", "text").join(guarded(where, 200_000), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))).select("text", "_ls")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         words = Keys(classes)
@@ -183,7 +183,7 @@ def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: byt
                         rows.append((words.cls(keys), keys, list(memoryview(wide.to_bytes(32, "little")).cast("q"))))
             yield pd.DataFrame(rows, columns=["cls", "keys", "wide"])
 
-    # a class comes from one line; where ids are tied it may come twice, which only repeats a result
+    # a class comes from one line; where a whole row is repeated it may come twice, which only repeats a result
     keys = cut(again.mapInPandas(run, "cls bigint, keys array<bigint>, wide array<bigint>").join(ids, "cls", "left_semi"))
     # a sketch of 256 bits first: few pairs that are not similar meet the keys themselves
     slim = keys.select("cls", F.size("keys").alias("n"), "wide")
@@ -199,18 +199,18 @@ def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: byt
 
 
 def _place() -> Column:
-    """A line's place in the order; null doc_ids last."""
-    return F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("line_no").alias("l"))
+    """A line's place in the order; null doc_ids last, then by the text's hash where ids and numbers are tied."""
+    return F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("h").alias("h"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, line_no) of the lines that go."""
-    docs = docs.select("doc_id", "text")
+    """(doc_id, h, line_no) of the lines that go; h: the hash of the text."""
+    docs = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = rarity(docs)
     sets = cut(_sets(docs, classes))
     equal = cut(sets.groupBy("cls").agg(F.min(_place()).alias("first"), F.count("*").alias("m")).where("m > 1").select("cls", "first"))
     one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", "n", "sig", "prefix", _place().alias("p"))
-    light = cut(sets.select("doc_id", "line_no", "cls"))
+    light = cut(sets.select("doc_id", "h", "line_no", "cls"))
     places = light.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", _place().alias("p"))
 
     # where a rare key is common, each class against the earliest one that has it
@@ -244,16 +244,16 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 
     # all lines of a class with an earlier partner, and all but the first of equal lines
     gone = guarded(cut(done.unionByName(sure.unionByName(more).distinct().withColumnRenamed("later", "cls")).distinct()))
-    near = light.join(gone, "cls", "left_semi").select("doc_id", "line_no")
-    same = light.join(guarded(equal), "cls").where(_place() > F.col("first")).select("doc_id", "line_no")
+    near = light.join(gone, "cls", "left_semi").select("doc_id", "h", "line_no")
+    same = light.join(guarded(equal), "cls").where(_place() > F.col("first")).select("doc_id", "h", "line_no")
     return near.unionByName(same).distinct()
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed_lines) for every row of `docs`; removed_lines: numbers from 0, comma-joined."""
-    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.sort_array(F.collect_list("line_no")).alias("_gone"))
-    rows = docs.select("doc_id", F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
-    out = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_th")).agg(F.sort_array(F.collect_list("line_no")).alias("_gone"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
+    out = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
     gone = F.coalesce("_gone", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(gone).cast("long").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"))
 
@@ -264,10 +264,10 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     A text that loses all lines becomes empty. The removed line numbers are broadcast while there are few
     enough documents and numbers (both counted); else the texts are shuffled to them.
     """
-    gone = cut(removed_lines(docs).groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set("line_no").alias("_gone")))
+    gone = cut(removed_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_th")).agg(F.collect_set("line_no").alias("_gone")))
     docs_, lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
     small = F.broadcast(gone) if docs_ <= SMALL_DOCS and lines <= SMALL_LINES else gone
-    j = docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    j = docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
     rest = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_id").isNull() & F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return j.withColumn("text", text).select(*docs.columns)

@@ -202,6 +202,15 @@ def test_line_dedup_takes_short_lines(spark):
     assert got == {(2, 0), (2, 2), (3, 0), (3, 1), (4, 0), (4, 1), (4, 3)}
 
 
+def test_line_dedup_tells_rows_of_one_id_apart(spark):
+    texts = [(None, "a b c d e\nunique to one f g"), (None, "h i j k l\nm n o p q"), (1, "a b c d e"), (7, "same line r s t\nu v w"), (7, "same line r s t\nx y z")]
+    df = spark.createDataFrame(texts, "doc_id bigint, text string")
+    got = sorted(x["text"] for x in E.line_dedup(df).collect())
+    assert got.count("unique to one f g") == 1 and got.count("h i j k l\nm n o p q") == 1 and "a b c d e" in got
+    assert ("u v w" in got) != ("x y z" in got)  # one of the two keeps the line that they share
+    assert sum(x["n_removed"] for x in E.line_report(df).collect()) == 2
+
+
 # ---- decontamination
 
 
