@@ -188,10 +188,9 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool]]:
                 words = {w for w in TOKEN.findall((text or "").lower()) if len(w) >= STEMS[0]}
                 seen[toxic].update(w + "$" for w in words)
                 seen[toxic].update({w[:k] for w in words for k in STEMS if len(w) >= k})
-        yield pd.DataFrame([(t, n, seen[0][t]) for t, n in seen[1].items()], columns=["term", "bad", "good"])
-        # clean counts matter only beside toxic ones, but those may be in another task
-        rest = [(t, 0, n) for t, n in seen[0].items() if t not in seen[1] and n > 1]
-        yield pd.DataFrame(rest, columns=["term", "bad", "good"])
+        rows = [(t, seen[1][t], seen[0][t]) for t in {**seen[0], **seen[1]}]
+        for k in range(0, len(rows), 50_000):
+            yield pd.DataFrame(rows[k : k + 50_000], columns=["term", "bad", "good"])
 
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:

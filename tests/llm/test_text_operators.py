@@ -338,6 +338,12 @@ def test_toxicity(spark):
     assert sum(p == y for p, y in held) / len(held) > 0.95
 
 
+def test_learnt_terms_do_not_depend_on_partitions(spark):
+    sample = spark.createDataFrame([(f"ordinary words {'zorblax' if k < 20 else 'plainly'}", int(k < 20)) for k in range(80)], "text string, toxic int")
+    one, many = (sorted(T.learn_terms(sample.repartition(n))) for n in (1, 160))
+    assert one == many and not any(t[:4] in ("ordi", "word") for t, _ in many)
+
+
 def test_quotation_scores_below_abuse():
     lex = T.Lexicon([("moron", False)])
     abuse, quote = T.features("you are a moron go away", lex), T.features('he said the word "moron" in a quote', lex)
