@@ -90,11 +90,12 @@ def breaks(q: np.ndarray, sensitivity: float = 0.3, least: int = 7) -> list[int]
     return out[::-1]
 
 
-def structural_break(series: DataFrame, sensitivity: float = 0.3, rows: int = 365) -> DataFrame:
-    """(sku, n, break_at, rows_after, state) from `series` (sku, q), over each item's last `rows` rows.
+def structural_break(series: DataFrame, sensitivity: float = 0.3) -> DataFrame:
+    """(sku, n, break_at, rows_after, state) from `series` (sku, q), over all rows of each item.
 
     break_at: the first row after the earliest break, null without one. state: "none", "truncated" if at
-    least 30 rows follow, else "insufficient". The window bounds the kernel matrix.
+    least 30 rows follow, else "insufficient". The kernel matrix has the square of the rows, which `views.series`
+    bounds at 730.
     """
     kind = series.schema["sku"].dataType.simpleString()
 
@@ -102,7 +103,7 @@ def structural_break(series: DataFrame, sensitivity: float = 0.3, rows: int = 36
         for b in batches:
             out = []
             for sku, q in zip(b["sku"], b["q"]):
-                q = np.asarray(q, dtype=float)[-rows:]
+                q = np.asarray(q, dtype=float)
                 found = breaks(q, sensitivity)
                 at = found[0] if found else None
                 after = len(q) - at if found else None

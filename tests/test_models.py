@@ -117,6 +117,12 @@ def test_structural_break_and_seasonal():
     assert A.seasonal_fit(np.zeros(0)).sum() == 0 and (A.seasonal_fit(np.full(20, 4.0)) == 4.0).all()
 
 
+def test_structural_break_of_the_first_year(spark):
+    q = [10.0 + k % 2 for k in range(150)] + [40.0 + k % 2 for k in range(580)]
+    r = A.structural_break(spark.createDataFrame([(1, q)], "sku int, q array<double>")).first()
+    assert r["n"] == 730 and abs(r["break_at"] - 150) <= 2 and r["rows_after"] == 730 - r["break_at"] and r["state"] == "truncated"
+
+
 def test_folds_and_split(spark):
     s = frame(spark, [list(range(30))])
     f = R.folds(s, 10, 5).orderBy("cut").collect()
