@@ -3,8 +3,12 @@
 The patterns (assignments, access keys, hexadecimal runs) give the base spans. Beyond them, runs of at
 least `MIN_LENGTH` key characters are compared under two first-order character models: one of random
 strings, one of ordinary identifiers. The models are counted from labelled samples (`samples`: made from
-fixed lists with a fixed seed, or passed in), and a run whose mean log-likelihood ratio per character is
-at least `THRESHOLD` is a span of kind "random", unless it touches a base span.
+fixed lists with a fixed seed, or passed in). A run whose mean log-likelihood ratio per character is at
+least `THRESHOLD` is a span of kind "random". In any other run, a fold finds the stretches whose ratios add
+up to `EVIDENCE` or more above `THRESHOLD` a character (a stretch ends where the sum falls to 0, or by
+`FALL` from its top), and each is a span, moved to the borders of its piece between = / _ and -; so a key
+joined to ordinary text is found. Base spans are blanked before runs are looked for: what is left of a run
+beside one is judged by itself.
 
 Positions are code points, ends exclusive. SQL functions give matches but no positions, so a text is
 split at a pattern's matches and the lengths of gaps and matches are summed. All of it is DataFrame
@@ -33,6 +37,9 @@ KINDS = ("assign", "access", "hex", "random")
 MIN_LENGTH = 20
 RUN = f"[A-Za-z0-9+/_=-]{{{MIN_LENGTH},}}"
 THRESHOLD = 0.75
+EVIDENCE, FALL = 12.0, 6.0
+#: Characters at the start of a stretch in which a border of pieces is looked for before it.
+EDGE = 4
 #: The characters of a run lie between these codes.
 FIRST, LAST = 43, 122
 SPAN = LAST - FIRST + 1
@@ -97,6 +104,17 @@ def _matches(text: Column, pattern: str, kind: int, group: int = 0) -> Column:
     return F.aggregate(sized, start, add, lambda a: a["out"])
 
 
+def _blanked(text: Column, spans: Column) -> Column:
+    """`text` with a space for every character of `spans`, which are in order."""
+    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(a: Column, m: Column) -> Column:
+        start, end = F.greatest(a["at"], m["start"]), F.greatest(a["at"], m["end"])
+        return F.struct(end.alias("at"), F.concat(a["out"], F.substr(text, a["at"] + 1, start - a["at"]), F.repeat(F.lit(" "), end - start)).alias("out"))
+
+    return F.aggregate(spans, begin, step, lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
+
+
 NONE = "array<struct<start:int,kind:int,end:int,hit:string>>"
 
 
@@ -116,17 +134,51 @@ def secrets(docs: DataFrame, labelled: list[tuple[str, int]] | None = None, thre
     d = d.withColumn("k", F.filter("k", lambda m: m["end"] - m["start"] >= 16))
     # runs of 32 or more and their places are the same as those of all runs, shorter ones dropped
     d = d.withColumn("h", F.when(F.col("t").rlike("[0-9a-f]{32}"), _matches(F.col("t"), HEX.replace("+", "{32,}"), 2)).otherwise(none))
-    d = d.withColumn("r", F.when(F.col("t").rlike(RUN), _matches(F.col("t"), RUN, 3)).otherwise(none))
-    d = d.select("doc_id", F.concat("a", "k", "h").alias("base"), "r")
-
-    def score(m: Column) -> Column:
-        step = lambda i: (F.ascii(F.substr(m["hit"], i, F.lit(1))) - FIRST) * SPAN + F.ascii(F.substr(m["hit"], i + 1, F.lit(1))) - FIRST
-        n = F.length(m["hit"]) - 1
-        return F.aggregate(F.sequence(F.lit(1), n), F.lit(0.0), lambda acc, i: acc + F.get(table, step(i)), lambda acc: acc / n)
+    d = d.withColumn("base", F.sort_array(F.concat("a", "k", "h")))
+    # the text with blanks for base spans, places unchanged
+    rest = F.when(F.size("base") == 0, F.col("t")).otherwise(_blanked(F.col("t"), F.col("base")))
+    d = d.withColumn("u", F.when(F.col("t").rlike(RUN), rest))
+    d = d.withColumn("r", F.when(F.col("u").rlike(RUN), _matches(F.col("u"), RUN, 3)).otherwise(none))
+    d = d.select("doc_id", "base", "r")
+
+    def stretches(m: Column) -> Column:
+        """array<struct<b, e, score>> of a run: itself, or its stretches, from 0."""
+        hit = m["hit"]
+        n = F.length(hit)
+        ratio = lambda i: F.get(table, (F.ascii(F.substr(hit, i, F.lit(1))) - FIRST) * SPAN + F.ascii(F.substr(hit, i + 1, F.lit(1))) - FIRST)
+        zero, at = F.lit(0.0), F.lit(0)
+        begin = F.struct(zero.alias("all"), zero.alias("s"), zero.alias("m"), at.alias("b"), at.alias("e"), F.array().cast("array<struct<b:int,e:int,score:double>>").alias("out"))
+        found = lambda a: F.when(a["m"] >= EVIDENCE, F.concat(a["out"], F.array(F.struct(a["b"].alias("b"), (a["e"] + 1).alias("e"), (a["m"] / (a["e"] - a["b"]) + threshold).alias("score"))))).otherwise(a["out"])
+
+        def step(a: Column, x: Column) -> Column:
+            s = a["s"] + x["v"] - threshold
+            ends, higher = (s <= 0) | (s < a["m"] - FALL), s > a["m"]
+            return F.struct(
+                (a["all"] + x["v"]).alias("all"),
+                F.when(ends, zero).otherwise(s).alias("s"),
+                F.when(ends, zero).otherwise(F.greatest(a["m"], s)).alias("m"),
+                F.when(ends, x["i"]).otherwise(a["b"]).alias("b"),
+                F.when(ends | higher, x["i"]).otherwise(a["e"]).alias("e"),
+                F.when(ends, found(a)).otherwise(a["out"]).alias("out"),
+            )
+
+        steps = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct(i.alias("i"), ratio(i).alias("v")))
+        whole = lambda a: F.array(F.struct(at.alias("b"), n.alias("e"), (a["all"] / (n - 1)).alias("score")))
+        return F.aggregate(steps, begin, step, lambda a: F.when(a["all"] / (n - 1) >= threshold, whole(a)).otherwise(found(a)))
+
+    def bordered(m: Column, x: Column) -> Column:
+        """The span of a stretch: from the border in its first characters, or the one before it, to the one after it."""
+        hit = m["hit"]
+        head = F.length(F.regexp_extract(F.substr(hit, x["b"] + 1, F.lit(EDGE)), "^.*[=/_-]", 0))
+        before = F.length(F.regexp_extract(F.substr(hit, F.lit(1), x["b"]), "[^=/_-]*$", 0))
+        after = F.length(F.regexp_extract(F.substr(hit, x["e"] + 1), "^[^=/_-]*", 0))
+        whole = (x["b"] == 0) & (x["e"] == F.length(hit))
+        b = F.when(whole, x["b"]).otherwise(F.when(head > 0, x["b"] + head).otherwise(x["b"] - before))
+        e = x["e"] + after
+        return F.struct((m["start"] + b).alias("start"), m["kind"].alias("kind"), (m["start"] + e).alias("end"), F.substr(hit, b + 1, e - b).alias("hit"), x["score"].alias("score"))
 
     fields = lambda m, s: F.struct(m["start"].alias("start"), m["kind"].alias("kind"), m["end"].alias("end"), m["hit"].alias("hit"), s.alias("score"))
-    alone = F.filter("r", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
-    found = F.filter(F.transform(alone, lambda m: fields(m, score(m))), lambda m: m["score"] >= threshold)
+    found = F.flatten(F.transform("r", lambda m: F.transform(stretches(m), lambda x: bordered(m, x))))
     base = F.transform("base", lambda m: fields(m, F.lit(None).cast("double")))
     return d.select("doc_id", F.sort_array(F.concat(base, found)).alias("spans"))
 
