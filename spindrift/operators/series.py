@@ -168,6 +168,16 @@ def errors(actual: Column, forecast: Column) -> Column:
     return F.struct(mape.alias("mape"), (miss / F.nullif(size, F.lit(0.0))).alias("wape"), ((forecast * F.size(actual) - total) / F.nullif(total, F.lit(0.0))).alias("bias"))
 
 
+def path_errors(actual: Column, forecast: Column) -> Column:
+    """As `errors`, against an array of forecasts, one for each actual."""
+    both = F.zip_with(actual, forecast, lambda y, f: F.struct(y.alias("y"), f.alias("f")))
+    add = lambda of: F.aggregate(both, F.lit(0.0), lambda a, e: a + of(e))
+    nz = F.filter(both, lambda e: e["y"] != 0)
+    mape = F.aggregate(nz, F.lit(0.0), lambda a, e: a + F.abs((e["y"] - e["f"]) / e["y"])) / F.nullif(F.size(nz), F.lit(0))
+    miss, size, total = add(lambda e: F.abs(e["y"] - e["f"])), add(lambda e: F.abs(e["y"])), add(lambda e: e["y"])
+    return F.struct(mape.alias("mape"), (miss / F.nullif(size, F.lit(0.0))).alias("wape"), (add(lambda e: e["f"] - e["y"]) / F.nullif(total, F.lit(0.0))).alias("bias"))
+
+
 def split(s: DataFrame, window: Column | int = P.HOLDOUT_ROWS) -> DataFrame:
     """`s` with the arrays train and test: all but the last `window` rows, and those."""
     w = window if isinstance(window, Column) else F.lit(window)

@@ -25,25 +25,51 @@ def classify(s: DataFrame) -> DataFrame:
     return s.withColumn("pattern", F.when(F.col("n") < 60, "cold_start").when(zeros > 0.4, "intermittent").when((ratio > 1.5) | (ratio < 0.67), "trending").otherwise("stable"))
 
 
-def _level(q: Column, model: Column, alpha: Column) -> Column:
-    """Units per day of the flat models."""
-    return F.when(model == "naive_forecast", M.naive_level(q)).when(model == "croston", M.croston_rate(q, alpha)).otherwise(M.ses_level(q, alpha))
+def _level(q: Column, model: Column, g: Column) -> Column:
+    """Units per day of the flat models under the settings g."""
+    return F.when(model == "naive_forecast", M.naive_level(q, g["lag"], g["how"])).when(model == "croston", M.croston_rate(q, g["alpha"], g["variant"])).otherwise(M.ses_level(q, g["alpha"]))
+
+
+def _path(q: Column, model: Column, g: Column, days: Column) -> Column:
+    """array<double>: the forecasts of the `days` days after q; Holt's from its own level and trend."""
+    phi = g["phi"]
+    reach = lambda k: F.when(phi == 1, k.cast("double")).otherwise(phi * (1 - F.pow(phi, k)) / (1 - phi))
+    along = lambda h: F.transform(F.sequence(F.lit(1), days), lambda k: F.greatest(F.lit(0.0), h["l"] + h["t"] * reach(k)))
+    # an array of one state, so that the fold runs once and not for every day
+    holt = F.get(F.transform(F.array(M.holt_state(q, g["alpha"], g["beta"], phi)), along), F.lit(0))
+    flat = F.array_repeat(_level(q, model, g), days)
+    return F.when(days < 1, F.array().cast("array<double>")).when(model == "holts_linear_trend", holt).otherwise(flat)
 
 
 def _array(values) -> Column:
     return F.array(*[F.lit(v) for v in values])
 
 
+def _setting(alpha: float = 0.3, beta: float = 0.1, phi: float = M.PHI, lag: int = 7, how: str = "mean_7d", variant: str = "SBA") -> Column:
+    return F.struct(F.lit(alpha).alias("alpha"), F.lit(beta).alias("beta"), F.lit(phi).alias("phi"), F.lit(lag).alias("lag"), F.lit(how).alias("how"), F.lit(variant).alias("variant"))
+
+
+def _grid(model: Column) -> Column:
+    """The settings of each model's own grid, its default first; seasonal items have those of smoothing."""
+    naive = F.array(*[_setting(lag=lag, how=how) for lag, how in M.NAIVE_GRID])
+    croston = F.array(*[_setting(alpha=a, variant=v) for a, v in M.CROSTON_GRID])
+    holt = F.array(*[_setting(alpha=a, beta=b, phi=M.PHI if damped else 1.0) for a, b, damped in M.HOLT_GRID])
+    ses = F.array(*[_setting(alpha=a) for a in M.SES_GRID])
+    return F.when(model == "naive_forecast", naive).when(model == "croston", croston).when(model == "holts_linear_trend", holt).otherwise(ses)
+
+
 def tuned(s: DataFrame) -> DataFrame:
-    """`s` (sku, q, model) with alpha and val_mape: the smoothing with the least error on the last 14 rows, first of equals.
+    """`s` (sku, q, model) with hp, alpha and val_mape: the setting of the model's grid with the least error on the last 14 rows, first of equals.
 
-    The grid is an array of levels, an array of errors and an argmin in the row; a failed or undefined error counts 1, capped at 99.
+    The errors are an array and the choice an argmin in the row; a failed or undefined error counts 1, capped at 99.
     """
-    s = R.split(s, P.HOLDOUT_ROWS)
-    s = s.withColumn("_l", F.transform(_array(M.SES_GRID), lambda a: _level(F.col("train"), F.col("model"), a)))
-    found = F.transform("_l", lambda x, k: F.struct(F.least(F.coalesce(R.errors(F.col("test"), x)["mape"], F.lit(1.0)), F.lit(99.0)).alias("mape"), k.alias("k")))
-    s = s.withColumn("_b", F.array_min(found)).withColumns({"alpha": F.get(_array(M.SES_GRID), F.col("_b.k")), "val_mape": F.col("_b.mape")})
-    return s.drop("_l", "_b", "train", "test")
+    s = R.split(s, P.HOLDOUT_ROWS).withColumn("_g", _grid(F.col("model")))
+    path = lambda g: _path(F.col("train"), F.col("model"), g, F.size("test"))
+    mape = lambda g: R.path_errors(F.col("test"), path(g))["mape"]
+    s = s.withColumn("_e", F.transform("_g", lambda g: F.least(F.coalesce(mape(g), F.lit(1.0)), F.lit(99.0))))
+    s = s.withColumn("_b", F.array_min(F.transform("_e", lambda e, k: F.struct(e.alias("mape"), k.alias("k")))))
+    s = s.withColumn("hp", F.get("_g", F.col("_b.k"))).withColumns({"alpha": F.col("hp.alpha"), "val_mape": F.col("_b.mape")})
+    return s.drop("_g", "_e", "_b", "train", "test")
 
 
 def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
@@ -56,11 +82,11 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     s = tuned(s)
     window = S.backtest_window(p, F.col("n"), F.col("n") < 14, F.lit("explore"), F.lit(None).cast("int"))
     s = R.split(s.withColumn("window", window), F.col("window"))
-    s = s.withColumn("_f", _level(F.col("train"), F.col("model"), F.col("alpha"))).withColumn("_e", R.errors(F.col("test"), F.col("_f")))
+    s = s.withColumn("_p", _path(F.col("train"), F.col("model"), F.col("hp"), F.size("test"))).withColumn("_e", R.path_errors(F.col("test"), F.col("_p")))
     s = R.with_flags(s.withColumn("mape", F.col("_e.mape")), F.col("mape"))
-    s = s.withColumns({"level": _level(F.col("q"), F.col("model"), F.col("alpha")), "_h": M.holt_state(F.col("q"), F.col("alpha")), "factor": S.oos_factor(F.col("pattern"), F.col("oos_pct"), F.col("detection"))})
+    s = s.withColumns({"level": _level(F.col("q"), F.col("model"), F.col("hp")), "_h": M.holt_state(F.col("q"), F.col("hp.alpha"), F.col("hp.beta"), F.col("hp.phi")), "factor": S.oos_factor(F.col("pattern"), F.col("oos_pct"), F.col("detection"))})
     days, holt = _array(P.HORIZONS), F.col("model") == "holts_linear_trend"
-    totals = F.when(holt, F.transform(days, lambda h: M.holt_total(F.col("_h"), h))).otherwise(F.transform(days, lambda h: F.greatest(F.lit(0.0), F.col("level")) * h))
+    totals = F.when(holt, F.transform(days, lambda h: M.holt_total(F.col("_h"), h, F.col("hp.phi")))).otherwise(F.transform(days, lambda h: F.greatest(F.lit(0.0), F.col("level")) * h))
     if seasonal:
         fit = A.seasonal_forecast(s.where("model = 'prophet'").select("sku", "q")).select("sku", F.array(*[f"h{h}" for h in P.HORIZONS]).alias("_s"))
         s = s.join(fit, "sku", "left")
@@ -68,7 +94,9 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     # totals per horizon, held flat beyond the effective horizon
     s = s.withColumns({"_x": F.transform(totals, lambda x: x * F.col("factor")), "_k": F.size(F.filter(days, lambda h: h <= F.col("max_horizon")))})
     s = s.withColumn("_t", F.transform("_x", lambda x, i: F.when((i < F.col("_k")) | (F.col("_k") == 0), x).otherwise(F.get("_x", F.col("_k") - 1))))
-    s = s.withColumn("_r", M.residuals(F.col("q"), F.when(F.col("model").isin("naive_forecast", "croston"), F.col("level")).otherwise(F.col("_f"))))
+    flat = F.when(F.col("model").isin("naive_forecast", "croston"), F.col("level")).otherwise(F.get("_p", F.lit(0)))
+    missed = M.last(F.zip_with("test", "_p", lambda y, f: y - f), 30)
+    s = s.withColumn("_r", F.when(holt, missed).otherwise(M.residuals(F.col("q"), flat)))
     s = s.withColumn("_o", M.order_statistics(F.col("_r")))
     s = s.withColumn("_q", F.transform("_t", lambda x: M.quantiles_from(x, F.col("_o"), F.col("pattern"))))
     s = s.withColumns({f"forecast_{h}d": F.get("_q", F.lit(i)) for i, h in enumerate(P.HORIZONS)})

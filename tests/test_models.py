@@ -8,9 +8,11 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from spindrift import params as P
 from spindrift.functions import models as M
 from spindrift.operators import arrow as A
 from spindrift.operators import series as R
+from spindrift.plans import forecast as W
 
 CASES = [[], [5.0], [3.0, 4.0], [0.0] * 10, [7.0] * 20, [0, 0, 4, 0, 0, 0, 2, 0, 1.0], [1.0, 2, 3, 4, 5, 6, 7, 8], [0.0, 0, 9], [10.0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 12]]
 
@@ -123,6 +125,13 @@ def test_structural_break_of_the_first_year(spark):
     assert r["n"] == 730 and abs(r["break_at"] - 150) <= 2 and r["rows_after"] == 730 - r["break_at"] and r["state"] == "truncated"
 
 
+def test_holt_is_tuned_as_holt(spark):
+    s = spark.createDataFrame([(1, [float(10 + 3 * k) for k in range(100)], 100)], "sku int, q array<double>, n int").withColumn("pattern", F.lit("trending"))
+    r = W.run(s, P.defaults(), seasonal=False).first()
+    assert r["model"] == "holts_linear_trend" and r["val_mape"] < 1e-6 and r["mape"] < 1e-6
+    assert abs(r["forecast_7d"]["mean"] - sum(10 + 3 * k for k in range(100, 107))) < 1e-3
+
+
 def test_folds_and_split(spark):
     s = frame(spark, [list(range(30))])
     f = R.folds(s, 10, 5).orderBy("cut").collect()
