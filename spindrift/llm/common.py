@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
-import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -45,13 +43,6 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Let Spark drop the shuffle files of steps that nothing refers to any more; it does so only when the driver collects garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-    time.sleep(1)
-
-
 #: Rows of a narrow table (ids, hashes) that may be broadcast; beyond it joins shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -86,7 +77,12 @@ def literal_longs(values: list[int]) -> Column:
     return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
 
-def no_clash(df: DataFrame, *names: str) -> DataFrame:
-    """`df` without columns of these names (in any case), so that results can use them."""
-    low = {n.lower() for n in names}
-    return df.drop(*[c for c in df.columns if c.lower() in low])
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """These names, each with as many underscores before it as it takes to be no column of `df` (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out

@@ -9,146 +9,121 @@ ones, so they need no prefix rows; one of 4 can be similar to one of 5.
 The join follows PPJoin (Xiao et al., 2008). Tokens are ordered by rarity: word counts over the whole
 corpus, kept per hash bucket, give each token a rarity class; the class and 57 bits of hash make its key.
 Any common order is exact; rarity only keeps prefix groups small. Pairs must share a key of their
-prefixes, and pass the length filter, the positional filter and a 64-bit parity sketch of the keys (two
-sketches differ in no more bits than the sets in tokens; compare the bitmap filter of Sandes et al., 2017).
+prefixes, and pass the length filter, the positional filter and a parity sketch of the keys (two sketches
+differ in no more bits than the sets in tokens; compare the bitmap filter of Sandes et al., 2017). The
+sketch has 64 bits, and 256 where both sets have more than `LONG` tokens, which 64 bits do not tell apart.
 What is left is verified by the exact Jaccard of keys read again from the lines concerned: of each line's
 candidates the earliest first, and the others only where that one fails.
 
-Words are cut and hashed in Arrow batches, as the same in SQL functions takes more than twice the CPU time (see
-README); ordering, filters, joins and verification are DataFrame functions.
+All of it is DataFrame functions; no Python runs on the executors.
 
 Skew: equal lines are one class before any prefix is dealt out. Where one of a class's rarest keys is
-common, the class is first held against the earliest line that has the key; a class found similar there
-is settled and only unsettled classes search on, so a group of near copies costs rows in proportion to its
-size.
+common, the class is first held against the earliest lines that have the key (one of each of `SIDES`
+arbitrary parts); a class found similar to one of them is settled and only unsettled classes search on,
+so a group of near copies costs rows in proportion to its size.
 
 Results for odd input: null text has no lines and stays null; empty and blank lines stay; rows with a null doc_id
 come last in the order and are judged by it; rows that share an id, or have none, are told apart by the
 hash of their text, which also orders their lines of one number (repeats of a whole row are one row to the
 order, and keep the same lines); an empty table gives an empty result; columns of other names are left
-alone.
+alone, whatever they are called.
 """
 
 from __future__ import annotations
 
 import math
-from array import array
-from collections.abc import Iterator
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, discard, guarded, release
+from .common import cut, discard, free_names, guarded, literal_longs
 
 SIMILARITY = 0.8
 LEAST_NEAR = 4
-BUCKETS = 1 << 17
+BUCKETS = 1 << 18
 CLASS_BITS = 57
 LOW = (1 << CLASS_BITS) - 1
-#: Of a class's rarest keys, how many bring it to the earliest line that has the key, if `COMMON` or more classes do.
+#: Sets of more tokens than this have the wide sketch.
+LONG = 64
+#: Of a class's rarest keys, how many bring it to the earliest lines that have the key, if `COMMON` or more classes do.
 PIVOTS = 3
 COMMON = 32
+SIDES = 4
 #: Documents and lines up to which the removed line numbers are broadcast to the texts.
 SMALL_DOCS, SMALL_LINES = 400_000, 4_000_000
-#: Word keys that a task remembers, and hashes that it adds to its counts at once.
-HELD = 300_000
 #: Bits of the set's size and of the place in the prefix, which share a long with the rest of a prefix row's key.
 SIZE_BITS, PLACE_BITS = 12, 10
 PACKED = SIZE_BITS + PLACE_BITS
+SKETCH = ["s0", "s1", "s2", "s3"]
 
 
-def rarity(docs: DataFrame) -> bytes:
-    """The rarity class (0..63, rarest first) of each hash bucket, from the counts of all words."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from xxhash import xxh64_intdigest as digest
-
-        total, held = np.zeros(BUCKETS, dtype=np.int64), []
-        low = BUCKETS - 1
-        for b in batches:
-            for t in b["text"]:
-                if t:
-                    held += [digest(w) & low for w in t.lower().encode().split()]
-                    if len(held) > HELD:
-                        total += np.bincount(held, minlength=BUCKETS)
-                        held = []
-        total += np.bincount(np.array(held, dtype=np.int64), minlength=BUCKETS)
-        at = np.nonzero(total)[0]
-        yield pd.DataFrame({"b": at, "n": total[at]})
-
-    out = bytearray(BUCKETS)
-    sums = docs.select("text").mapInPandas(count, "b bigint, n bigint").groupBy("b").agg(F.sum("n").alias("n"))
-    for b, n in sums.collect():  # at most BUCKETS rows
-        out[b] = min(63, int(1.5 * math.log2(n)))
-    return bytes(out)
-
-
-class Keys:
-    """Words to keys: the rarity class above 57 bits of hash."""
-
-    def __init__(self, classes: bytes):
-        from xxhash import xxh64_intdigest
-
-        self.classes, self.digest, self.held = classes, xxh64_intdigest, {}
-
-    def of(self, line: str) -> list[int]:
-        """The ordered keys of a line's tokens."""
-        held, out = self.held, set()
-        for w in line.lower().encode().split():
-            k = held.get(w)
-            if k is None:
-                h = self.digest(w)
-                k = self.classes[h & (BUCKETS - 1)] << CLASS_BITS | h & LOW
-                if len(held) >= HELD:
-                    held.clear()
-                held[w] = k
-            out.add(k)
-        return sorted(out)
-
-    def cls(self, keys: list[int]) -> int:
-        """The signed 64-bit hash that names a token set."""
-        h = self.digest(array("Q", keys).tobytes())
-        return h - (1 << 64) if h >> 63 else h
-
-
-def _sets(docs: DataFrame, classes: bytes) -> DataFrame:
-    """(doc_id, h, line_no, cls, n, sig, prefix) of every line with tokens; sig: a parity sketch; the prefix is empty under `LEAST_NEAR` tokens."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "h", "line_no", "cls", "n", "sig", "prefix"]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Keys(classes)
-        for b in batches:
-            rows = []
-            for i, h, t in zip(b["doc_id"], b["h"], b["text"]):
-                for k, line in enumerate((t or "").split("\n")):
-                    keys = words.of(line)
-                    n = len(keys)
-                    if n:
-                        sig = 0
-                        for x in keys:
-                            sig ^= 1 << (x & 63)
-                        rows.append((i, h, k, words.cls(keys), n, sig - (1 << 64) if sig >> 63 else sig, keys[: n - -(-4 * n // 5) + 1] if n >= LEAST_NEAR else []))
-                if len(rows) >= 20_000:
-                    yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
-                    rows = []
-            yield pd.DataFrame(rows, columns=names).astype({"doc_id": b["doc_id"].dtype})
-
-    return docs.select("doc_id", "h", "text").mapInPandas(run, f"doc_id {kind}, h bigint, line_no int, cls bigint, n int, sig bigint, prefix array<bigint>")
+def _level(n: int) -> int:
+    """The rarity class (0..63, rarest first) of a bucket in which n words fell."""
+    return min(63, int(1.5 * math.log2(n))) if n else 0
+
+
+def _spaced(text: Column) -> Column:
+    """`text` with every white space of the ASCII range but newlines as a blank."""
+    for c in "\t\x0b\f\r":
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
+def _hashes(text: Column) -> Column:
+    """Hashes of the lower-case words between blanks (and an empty word wherever two blanks meet)."""
+    return F.transform(F.split(F.lower(text), " ", -1), lambda w: F.xxhash64(w))
+
+
+def rarity(docs: DataFrame) -> list[int]:
+    """The rarity class of each hash bucket, from the counts of all words."""
+    words = _hashes(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")))
+    spots = docs.select(F.explode(words).alias("w")).where(F.col("w") != F.xxhash64(F.lit("")))
+    out = [0] * BUCKETS
+    for b, n in spots.groupBy(F.col("w").bitwiseAND(BUCKETS - 1).alias("b")).count().collect():  # at most BUCKETS rows
+        out[b] = _level(n)
+    return out
+
+
+def _keys(line: Column, classes: Column) -> Column:
+    """The ordered keys of a line's tokens."""
+    own = F.array_distinct(F.array_remove(_hashes(line), F.xxhash64(F.lit(""))))
+    level = lambda w: F.get(classes, w.bitwiseAND(BUCKETS - 1).cast("int"))
+    return F.sort_array(F.transform(own, lambda w: F.shiftleft(level(w), CLASS_BITS).bitwiseOR(w.bitwiseAND(LOW))))
+
+
+def _parity(keep=lambda x: None) -> Column:
+    """The parity of `keys` per place of 64; only of those that `keep` names, if it names any."""
+
+    def turn(a: Column, x: Column) -> Column:
+        # the low six bits of a shift's width are its width
+        turned = a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int")))
+        return turned if (only := keep(x)) is None else F.when(only, turned).otherwise(a)
+
+    return F.aggregate("keys", F.lit(0).cast("long"), turn)
+
+
+def _sets(docs: DataFrame, classes: list[int]) -> DataFrame:
+    """(doc_id, h, line_no, cls, n, s0..s3, prefix) of every line with tokens; the prefix is empty under `LEAST_NEAR` tokens."""
+    lines = docs.select("doc_id", "h", F.posexplode(F.split(_spaced(F.col("text")), "\n", -1)).alias("line_no", "line")).where("trim(line) <> ''")
+    keys = lines.select("doc_id", "h", "line_no", _keys(F.col("line"), literal_longs(classes)).alias("keys"))
+    n = F.size("keys")
+    long = n > LONG
+    wide = [F.when(long, _parity(lambda x, k=k: F.shiftright(x, 6).bitwiseAND(3) == k)) for k in range(4)]
+    sketch = [w.otherwise(F.lit(0).cast("long") if k else _parity()).alias(s) for k, (w, s) in enumerate(zip(wide, SKETCH))]
+    size = F.when(n >= LEAST_NEAR, n - F.floor((4 * n + 4) / 5).cast("int") + 1).otherwise(0)
+    return keys.select("doc_id", "h", "line_no", F.xxhash64("keys").alias("cls"), n.alias("n"), *sketch, F.slice("keys", F.lit(1), size).alias("prefix"))
 
 
 def _rows(one: DataFrame, prefix: Column, *more: str) -> DataFrame:
-    """One row per class and prefix key: k (the key's low bits, the size and the place from 0, packed), sig, cls.
+    """One row per class and prefix key: k (the key's low bits, the size and the place from 0, packed), sketch, cls.
 
     A shortened key, or a size at its limit (then with place 0), can only let more pairs through to verification.
     """
     top = (1 << SIZE_BITS) - 1
-    d = one.select("cls", "n", "sig", *more, F.posexplode(prefix).alias("at", "key"))
+    d = one.select("cls", "n", *SKETCH, *more, F.posexplode(prefix).alias("at", "key"))
     place = F.when((F.col("n") < top) & (F.col("at") < (1 << PLACE_BITS)), F.col("at")).otherwise(0).cast("long")
     size = F.shiftleft(F.least(F.col("n"), F.lit(top)).cast("long"), PLACE_BITS)
-    return d.select(F.shiftleft("key", PACKED).bitwiseOR(size).bitwiseOR(place).alias("k"), "sig", "cls", *more)
+    return d.select(F.shiftleft("key", PACKED).bitwiseOR(size).bitwiseOR(place).alias("k"), *SKETCH, "cls", *more)
 
 
 def _met(x: DataFrame, y: DataFrame) -> DataFrame:
@@ -157,44 +132,31 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
     n = lambda s: F.shiftright(F.col(f"{s}.k"), PLACE_BITS).bitwiseAND((1 << SIZE_BITS) - 1)
     room = lambda s: n(s) - F.col(f"{s}.k").bitwiseAND((1 << PLACE_BITS) - 1)
     both = n("x") + n("y")
-    apart = F.bit_count(F.col("x.sig").bitwiseXOR(F.col("y.sig")))
+    bits = lambda a, b: F.bit_count(a.bitwiseXOR(b))
+    folded = lambda s: F.col(f"{s}.s0").bitwiseXOR(F.col(f"{s}.s1")).bitwiseXOR(F.col(f"{s}.s2")).bitwiseXOR(F.col(f"{s}.s3"))
+    wide = bits(F.col("x.s0"), F.col("y.s0")) + bits(F.col("x.s1"), F.col("y.s1")) + bits(F.col("x.s2"), F.col("y.s2")) + bits(F.col("x.s3"), F.col("y.s3"))
+    apart = F.when(F.least(n("x"), n("y")) > LONG, wide).otherwise(bits(folded("x"), folded("y")))
     length = 5 * F.least(n("x"), n("y")) >= 4 * F.greatest(n("x"), n("y"))
     return x.alias("x").join(y.alias("y"), key("x") == key("y")).where(length & (9 * F.least(room("x"), room("y")) >= 4 * both) & (9 * apart <= both))
 
 
-def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: bytes) -> DataFrame:
+def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: list[int]) -> DataFrame:
     """The (later, earlier) of `pairs` whose token sets really have the similarity. `places`: cls, p (a line with the set)."""
-    ids = guarded(cut(pairs.select(F.explode(F.array("later", "earlier")).alias("cls")).distinct()))
-    where = cut(places.join(ids, "cls", "left_semi").groupBy(F.col("p.d").alias("_id"), F.col("p.h").alias("_th")).agg(F.collect_set("p.l").alias("_ls")))
-    again = docs.select("doc_id", "h", "text").join(guarded(where, 200_000), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))).select("text", "_ls")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = Keys(classes)
-        for b in batches:
-            rows = []
-            for t, wanted in zip(b["text"], b["_ls"]):
-                lines = (t or "").split("\n")
-                for k in wanted:
-                    if k < len(lines):
-                        keys = words.of(lines[k])
-                        wide = 0
-                        for x in keys:
-                            wide ^= 1 << (x & 255)
-                        rows.append((words.cls(keys), keys, list(memoryview(wide.to_bytes(32, "little")).cast("q"))))
-            yield pd.DataFrame(rows, columns=["cls", "keys", "wide"])
-
+    ids = pairs.select(F.col("later").alias("cls")).unionByName(pairs.select(F.col("earlier").alias("cls"))).distinct()
+    ids = cut(ids)
+    where = places.join(guarded(ids), "cls", "left_semi").groupBy(F.col("p.d").alias("_id"), F.col("p.h").alias("_th")).agg(F.collect_set("p.l").alias("_ls"))
+    where = cut(where)
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))
+    lines = docs.join(guarded(where, 200_000), same).select(F.split(_spaced(F.col("text")), "\n", -1).alias("lines"), "_ls")
+    lines = lines.select(F.explode(F.transform("_ls", lambda k: F.get("lines", k))).alias("line"))
     # a class comes from one line; where a whole row is repeated it may come twice, which only repeats a result
-    keys = cut(again.mapInPandas(run, "cls bigint, keys array<bigint>, wide array<bigint>").join(ids, "cls", "left_semi"))
-    # a sketch of 256 bits first: few pairs that are not similar meet the keys themselves
-    slim = keys.select("cls", F.size("keys").alias("n"), "wide")
-    a, b = slim.toDF("later", "na", "wa"), slim.toDF("earlier", "nb", "wb")
-    apart = sum((F.bit_count(F.get("wa", F.lit(i)).bitwiseXOR(F.get("wb", F.lit(i)))) for i in range(1, 4)), F.bit_count(F.get("wa", F.lit(0)).bitwiseXOR(F.get("wb", F.lit(0)))))
-    pairs = cut(pairs.join(a, "later").join(b, "earlier").where(9 * apart <= F.col("na") + F.col("nb")).select("later", "earlier").distinct())
-    release(docs.sparkSession)
+    keys = lines.select(_keys(F.col("line"), literal_longs(classes)).alias("keys"))
+    keys = cut(keys.select(F.xxhash64("keys").alias("cls"), "keys"))
     a, b = keys.select(F.col("cls").alias("later"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("earlier"), F.col("keys").alias("kb"))
     both = pairs.join(a, "later").join(b, "earlier").withColumn("o", F.size(F.array_intersect("ka", "kb")))
     out = cut(both.where(9 * F.col("o") >= 4 * (F.size("ka") + F.size("kb"))).select("later", "earlier"))
-    discard(keys)
+    for done in (ids, where, keys):
+        discard(done)
     return out
 
 
@@ -203,58 +165,67 @@ def _place() -> Column:
     return F.struct(F.col("doc_id").isNull().alias("z"), F.col("doc_id").alias("d"), F.col("line_no").alias("l"), F.col("h").alias("h"))
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """(doc_id, h, line_no) of the lines that go; h: the hash of the text."""
+def _removed(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, line_no) of the lines that go, as often as their row is there; h: the hash of the text."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = rarity(docs)
     sets = cut(_sets(docs, classes))
     equal = cut(sets.groupBy("cls").agg(F.min(_place()).alias("first"), F.count("*").alias("m")).where("m > 1").select("cls", "first"))
-    one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", "n", "sig", "prefix", _place().alias("p"))
-    light = cut(sets.select("doc_id", "h", "line_no", "cls"))
-    places = light.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first"))).select("cls", _place().alias("p"))
+    one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first")))
+    one = one.select("cls", "n", *SKETCH, "prefix", _place().alias("p"))
 
-    # where a rare key is common, each class against the earliest one that has it
-    rare = F.slice("prefix", 1, PIVOTS)
+    # where a rare key is common, each class against the earliest ones that have it; a key of COMMON classes is of a word met as often
+    rare = F.filter(F.slice("prefix", 1, PIVOTS), lambda x: F.shiftright(x, CLASS_BITS) >= _level(COMMON))
     key = F.shiftright("k", PACKED)
-    common = _rows(one, rare).groupBy(key.alias("_k")).count().where(F.col("count") >= COMMON).select("_k")
-    heads = _rows(one, rare, "p").join(guarded(cut(common)), F.col("_k") == key, "left_semi")
-    pivots = heads.groupBy(key).agg(F.min(F.struct("p", "k", "sig", "cls")).alias("v")).select("v.k", "v.sig", "v.cls")
-    met = _met(heads.drop("p"), pivots).where(F.col("x.cls") != F.col("y.cls")).select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier"))
-    settled = _verified(cut(met.distinct()), places, docs, classes).select("later").distinct()
-
-    release(docs.sparkSession)
+    common = cut(_rows(one, rare).groupBy(key.alias("_k")).count().where(F.col("count") >= COMMON).select("_k"))
+    heads = _rows(one, rare, "p").join(guarded(common), F.col("_k") == key, "left_semi")
+    pivots = heads.groupBy(key, F.pmod("cls", F.lit(SIDES))).agg(F.min(F.struct("p", "k", *SKETCH, "cls")).alias("v")).select("v.*")
+    met = _met(heads, pivots).where(F.col("x.p") > F.col("y.p")).select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier"))
+    met = cut(met.distinct())
+    settled = _verified(met, one, docs, classes)
+    done = cut(settled.select(F.col("later").alias("cls")).distinct())
 
     # the rest against all: first each class and its earliest candidate, then the candidates of those still unsettled
-    done = guarded(cut(settled.withColumnRenamed("later", "cls")))
-    todo, past = _rows(one.join(done, "cls", "left_anti"), F.col("prefix")), _rows(one.join(done, "cls", "left_semi"), F.col("prefix"))
+    few = guarded(done)
+    todo, past = _rows(one.join(few, "cls", "left_anti"), F.col("prefix")), _rows(one.join(few, "cls", "left_semi"), F.col("prefix"))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
     found = cut(_met(todo, todo).where(F.col("x.cls") < F.col("y.cls")).select(*ends).unionByName(_met(todo, past).select(*ends)).distinct())
-    discard(sets)
-    release(docs.sparkSession)
-    ids = guarded(cut(found.select(F.explode(F.array("a", "b")).alias("cls")).distinct()))
-    at = cut(places.join(ids, "cls", "left_semi").groupBy("cls").agg(F.min("p").alias("p")))
+    ids = cut(found.select(F.col("a").alias("cls")).unionByName(found.select(F.col("b").alias("cls"))).distinct())
+    at = cut(one.select("cls", "p").join(guarded(ids), "cls", "left_semi").groupBy("cls").agg(F.min("p").alias("p")))
     named = found.join(at.select(F.col("cls").alias("a"), F.col("p").alias("pa")), "a").join(at.select(F.col("cls").alias("b"), F.col("p").alias("pb")), "b")
     first = F.col("pa") < F.col("pb")
     pairs = named.select(F.when(first, F.col("b")).otherwise(F.col("a")).alias("later"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("earlier"), F.least("pa", "pb").alias("p"))
-    pairs = cut(pairs.join(done.withColumnRenamed("cls", "later"), "later", "left_anti"))
+    pairs = cut(pairs.join(few.withColumnRenamed("cls", "later"), "later", "left_anti"))
     early = cut(pairs.groupBy("later").agg(F.min(F.struct("p", "earlier")).alias("e")).select("later", "e.earlier"))
-    sure = _verified(early, at, docs, classes).select("later")
-    rest = cut(pairs.select("later", "earlier").join(guarded(sure), "later", "left_anti").join(early, ["later", "earlier"], "left_anti"))
-    more = _verified(rest, at, docs, classes).select("later") if not rest.isEmpty() else sure.limit(0)
+    sure = _verified(early, at, docs, classes)
+    rest = cut(pairs.select("later", "earlier").join(guarded(sure.select("later")), "later", "left_anti").join(early, ["later", "earlier"], "left_anti"))
+    more = _verified(rest, at, docs, classes)
 
     # all lines of a class with an earlier partner, and all but the first of equal lines
-    gone = guarded(cut(done.unionByName(sure.unionByName(more).distinct().withColumnRenamed("later", "cls")).distinct()))
-    near = light.join(gone, "cls", "left_semi").select("doc_id", "h", "line_no")
-    same = light.join(guarded(equal), "cls").where(_place() > F.col("first")).select("doc_id", "h", "line_no")
-    return near.unionByName(same).distinct()
+    near = done.unionByName(sure.unionByName(more).select(F.col("later").alias("cls"))).distinct()
+    near = cut(near.withColumn("near", F.lit(True)))
+    light = sets.select("doc_id", "h", "line_no", "cls").join(guarded(near), "cls", "left").join(guarded(equal), "cls", "left")
+    out = cut(light.where(F.col("near") | (_place() > F.col("first"))).select("doc_id", "h", "line_no"))
+    for step in (sets, equal, common, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
+        discard(step)
+    return out
+
+
+def removed_lines(docs: DataFrame) -> DataFrame:
+    """(doc_id, h, line_no) of the lines that go; h: the hash of the text."""
+    return _removed(docs).distinct()
+
+
+def _by_text(docs: DataFrame) -> DataFrame:
+    """(id, h, gone) of every text that loses lines; gone: their numbers in order."""
+    return _removed(docs).groupBy(F.col("doc_id").alias("id"), "h").agg(F.sort_array(F.collect_set("line_no")).alias("gone"))
 
 
 def line_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_lines, n_removed, removed_lines) for every row of `docs`; removed_lines: numbers from 0, comma-joined."""
-    gone = removed_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_th")).agg(F.sort_array(F.collect_list("line_no")).alias("_gone"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("_h"), F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
-    out = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_th")), "left")
-    gone = F.coalesce("_gone", F.array().cast("array<int>"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n"))).cast("long").alias("n_lines"))
+    out = rows.join(_by_text(docs), F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("th") == F.col("h")), "left")
+    gone = F.coalesce("gone", F.array().cast("array<int>"))
     return out.select("doc_id", "n_lines", F.size(gone).cast("long").alias("n_removed"), F.array_join(gone.cast("array<string>"), ",").alias("removed_lines"))
 
 
@@ -264,10 +235,11 @@ def line_dedup(docs: DataFrame) -> DataFrame:
     A text that loses all lines becomes empty. The removed line numbers are broadcast while there are few
     enough documents and numbers (both counted); else the texts are shuffled to them.
     """
-    gone = cut(removed_lines(docs).groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_th")).agg(F.collect_set("line_no").alias("_gone")))
-    docs_, lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size("_gone")), F.lit(0))).first()
+    i, h, g = free_names(docs, "id", "h", "gone")
+    gone = cut(_by_text(docs).toDF(i, h, g))
+    docs_, lines = gone.agg(F.count("*"), F.coalesce(F.sum(F.size(g)), F.lit(0))).first()
     small = F.broadcast(gone) if docs_ <= SMALL_DOCS and lines <= SMALL_LINES else gone
-    j = docs.join(small, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_th")), "left")
-    rest = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_gone", i))
-    text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
+    j = docs.join(small, F.col("doc_id").eqNullSafe(F.col(i)) & (F.xxhash64("text") == F.col(h)), "left")
+    rest = F.filter(F.split("text", "\n"), lambda x, k: ~F.array_contains(g, k))
+    text = F.when(F.col(g).isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
     return j.withColumn("text", text).select(*docs.columns)
