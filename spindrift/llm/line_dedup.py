@@ -11,16 +11,16 @@ corpus, kept per hash bucket, give each token a rarity class; the class and 57 b
 Any common order is exact; rarity only keeps prefix groups small. Pairs must share a key of their
 prefixes, and pass the length filter, the positional filter and a parity sketch of the keys (two sketches
 differ in no more bits than the sets in tokens; compare the bitmap filter of Sandes et al., 2017). The
-sketch has 64 bits, and 256 where both sets have more than `LONG` tokens, which 64 bits do not tell apart.
-What is left is verified by the exact Jaccard of keys read again from the lines concerned: of each line's
+sketch has 64, 128 or 256 bits by the size of the set, as few bits do not tell large sets apart; two
+sketches are compared at the width of the narrower. What is left is verified by the exact Jaccard of keys read again from the lines concerned: of each line's
 candidates the earliest first, and the others only where that one fails.
 
 All of it is DataFrame functions; no Python runs on the executors.
 
-Skew: equal lines are one class before any prefix is dealt out. Where one of a class's rarest keys is
-common, the class is first held against the earliest lines that have the key (one of each of `SIDES`
-arbitrary parts); a class found similar to one of them is settled and only unsettled classes search on,
-so a group of near copies costs rows in proportion to its size.
+Skew: equal lines are one class before any prefix is dealt out. Each class is then held against the
+earliest class with the same two extreme token hashes, for four places of the hashes' range (a MinHash of
+two tokens each). A class similar to it is settled, and only unsettled classes search on, so a group of
+near copies costs rows in proportion to its size. This only settles early what the search would find too.
 
 Results for odd input: null text has no lines and stays null; empty and blank lines stay; rows with a null doc_id
 come last in the order and are judged by it; rows that share an id, or have none, are told apart by the
@@ -43,12 +43,8 @@ LEAST_NEAR = 4
 BUCKETS = 1 << 18
 CLASS_BITS = 57
 LOW = (1 << CLASS_BITS) - 1
-#: Sets of more tokens than this have the wide sketch.
-LONG = 64
-#: Of a class's rarest keys, how many bring it to the earliest lines that have the key, if `COMMON` or more classes do.
-PIVOTS = 3
-COMMON = 32
-SIDES = 4
+#: Sets of more tokens than these have a sketch of 128, and of 256 bits.
+LONG, LONGER = 64, 128
 #: Documents and lines up to which the removed line numbers are broadcast to the texts.
 SMALL_DOCS, SMALL_LINES = 400_000, 4_000_000
 #: Bits of the set's size and of the place in the prefix, which share a long with the rest of a prefix row's key.
@@ -57,73 +53,93 @@ PACKED = SIZE_BITS + PLACE_BITS
 SKETCH = ["s0", "s1", "s2", "s3"]
 
 
-def _level(n: int) -> int:
-    """The rarity class (0..63, rarest first) of a bucket in which n words fell."""
-    return min(63, int(1.5 * math.log2(n))) if n else 0
+def _spaced(text: Column, blanks: str = "\t\x0b\f\r") -> Column:
+    """`text` with these white spaces as blanks: those of the ASCII range but newlines."""
+    out = text
+    for c in blanks:
+        out = F.replace(out, F.lit(c), F.lit(" "))
+    some = F.contains(text, F.lit(blanks[0]))
+    for c in blanks[1:]:
+        some = some | F.contains(text, F.lit(c))
+    return F.when(some, out).otherwise(text)
 
 
-def _spaced(text: Column) -> Column:
-    """`text` with every white space of the ASCII range but newlines as a blank."""
-    for c in "\t\x0b\f\r":
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    return text
-
-
-def _hashes(text: Column) -> Column:
-    """Hashes of the lower-case words between blanks (and an empty word wherever two blanks meet)."""
-    return F.transform(F.split(F.lower(text), " ", -1), lambda w: F.xxhash64(w))
+def _words(text: Column) -> Column:
+    """The lower-case words between blanks (and an empty word wherever two blanks meet)."""
+    return F.split(F.lower(text), " ", -1)
 
 
 def rarity(docs: DataFrame) -> list[int]:
-    """The rarity class of each hash bucket, from the counts of all words."""
-    words = _hashes(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")))
-    spots = docs.select(F.explode(words).alias("w")).where(F.col("w") != F.xxhash64(F.lit("")))
+    """The rarity class (0..63, rarest first) of each hash bucket, from the counts of all words."""
+    spots = docs.select(F.explode(_words(_spaced(F.col("text"), "\n\t\x0b\f\r"))).alias("w")).where("w <> ''")
     out = [0] * BUCKETS
-    for b, n in spots.groupBy(F.col("w").bitwiseAND(BUCKETS - 1).alias("b")).count().collect():  # at most BUCKETS rows
-        out[b] = _level(n)
+    for b, n in spots.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("b")).count().collect():  # at most BUCKETS rows
+        out[b] = min(63, int(1.5 * math.log2(n)))
     return out
 
 
-def _keys(line: Column, classes: Column) -> Column:
-    """The ordered keys of a line's tokens."""
-    own = F.array_distinct(F.array_remove(_hashes(line), F.xxhash64(F.lit(""))))
-    level = lambda w: F.get(classes, w.bitwiseAND(BUCKETS - 1).cast("int"))
-    return F.sort_array(F.transform(own, lambda w: F.shiftleft(level(w), CLASS_BITS).bitwiseOR(w.bitwiseAND(LOW))))
+def _tokens(line: Column) -> Column:
+    """The hashes of a line's tokens."""
+    return F.array_distinct(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+
+
+def _keys(tokens: str, classes: list[int]) -> Column:
+    """The ordered keys of token hashes."""
+    table = literal_longs(classes)
+    level = lambda w: F.get(table, w.bitwiseAND(BUCKETS - 1).cast("int"))
+    return F.sort_array(F.transform(tokens, lambda w: F.shiftleft(level(w), CLASS_BITS).bitwiseOR(w.bitwiseAND(LOW))))
 
 
-def _parity(keep=lambda x: None) -> Column:
-    """The parity of `keys` per place of 64; only of those that `keep` names, if it names any."""
+def _parity(parts: int, part: int) -> Column:
+    """The parity of the keys per place of 64, of those keys that fall into one of `parts` parts by the bits above."""
 
     def turn(a: Column, x: Column) -> Column:
-        # the low six bits of a shift's width are its width
         turned = a.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int")))
-        return turned if (only := keep(x)) is None else F.when(only, turned).otherwise(a)
+        return turned if parts == 1 else F.when(x.bitwiseAND(64 * (parts - 1)) == 64 * part, turned).otherwise(a)
 
     return F.aggregate("keys", F.lit(0).cast("long"), turn)
 
 
+def _bands() -> Column:
+    """Hashes of the two least and the two greatest negative and positive token hashes; `order`: them in order, with a 0 at place `zero`."""
+    ends = (F.lit(0), F.greatest(F.col("zero") - 3, F.lit(0)), F.col("zero"), F.greatest(F.size("order") - 2, F.lit(0)))  # places from 0
+    return F.array(*[F.xxhash64(F.get("order", i), F.get("order", i + 1), F.lit(k)) for k, i in enumerate(ends)])
+
+
 def _sets(docs: DataFrame, classes: list[int]) -> DataFrame:
-    """(doc_id, h, line_no, cls, n, s0..s3, prefix) of every line with tokens; the prefix is empty under `LEAST_NEAR` tokens."""
+    """(doc_id, h, line_no, cls, n, s0..s3, bands, prefix) of every line with tokens; bands and prefix are empty under `LEAST_NEAR` tokens."""
     lines = docs.select("doc_id", "h", F.posexplode(F.split(_spaced(F.col("text")), "\n", -1)).alias("line_no", "line")).where("trim(line) <> ''")
-    keys = lines.select("doc_id", "h", "line_no", _keys(F.col("line"), literal_longs(classes)).alias("keys"))
+    own = ["doc_id", "h", "line_no"]
+    zero = F.lit(0).cast("long")
+    keys = lines.select(*own, _tokens(F.col("line")).alias("tokens"))
+    keys = keys.select(*own, _keys("tokens", classes).alias("keys"), F.sort_array(F.array_append("tokens", zero)).alias("order"))
+    keys = keys.select("*", F.array_position("order", zero).cast("int").alias("zero"))
     n = F.size("keys")
-    long = n > LONG
-    wide = [F.when(long, _parity(lambda x, k=k: F.shiftright(x, 6).bitwiseAND(3) == k)) for k in range(4)]
-    sketch = [w.otherwise(F.lit(0).cast("long") if k else _parity()).alias(s) for k, (w, s) in enumerate(zip(wide, SKETCH))]
+    sketch = [F.when(n > LONGER, _parity(4, k)).when(n > LONG, _parity(2, k) if k < 2 else zero).otherwise(zero if k else _parity(1, 0)).alias(s) for k, s in enumerate(SKETCH)]
     size = F.when(n >= LEAST_NEAR, n - F.floor((4 * n + 4) / 5).cast("int") + 1).otherwise(0)
-    return keys.select("doc_id", "h", "line_no", F.xxhash64("keys").alias("cls"), n.alias("n"), *sketch, F.slice("keys", F.lit(1), size).alias("prefix"))
+    bands = F.when(n >= LEAST_NEAR, _bands()).otherwise(F.array().cast("array<bigint>"))
+    return keys.select(*own, F.xxhash64("keys").alias("cls"), n.alias("n"), *sketch, bands.alias("bands"), F.slice("keys", F.lit(1), size).alias("prefix"))
+
+
+def _apart(x: str, y: str, nx: Column, ny: Column) -> Column:
+    """In how many bits the sketches of x and y differ, at the width of the narrower."""
+    both = [F.col(f"{x}.{s}").bitwiseXOR(F.col(f"{y}.{s}")) for s in SKETCH]
+    half = [both[0].bitwiseXOR(both[2]), both[1].bitwiseXOR(both[3])]
+    bits = [F.bit_count(b) for b in both]
+    least = F.least(nx, ny)
+    return F.when(least > LONGER, bits[0] + bits[1] + bits[2] + bits[3]).when(least > LONG, F.bit_count(half[0]) + F.bit_count(half[1])).otherwise(F.bit_count(half[0].bitwiseXOR(half[1])))
 
 
-def _rows(one: DataFrame, prefix: Column, *more: str) -> DataFrame:
+def _rows(one: DataFrame) -> DataFrame:
     """One row per class and prefix key: k (the key's low bits, the size and the place from 0, packed), sketch, cls.
 
     A shortened key, or a size at its limit (then with place 0), can only let more pairs through to verification.
     """
     top = (1 << SIZE_BITS) - 1
-    d = one.select("cls", "n", *SKETCH, *more, F.posexplode(prefix).alias("at", "key"))
+    d = one.select("cls", "n", *SKETCH, F.posexplode("prefix").alias("at", "key"))
     place = F.when((F.col("n") < top) & (F.col("at") < (1 << PLACE_BITS)), F.col("at")).otherwise(0).cast("long")
     size = F.shiftleft(F.least(F.col("n"), F.lit(top)).cast("long"), PLACE_BITS)
-    return d.select(F.shiftleft("key", PACKED).bitwiseOR(size).bitwiseOR(place).alias("k"), *SKETCH, "cls", *more)
+    return d.select(F.shiftleft("key", PACKED).bitwiseOR(size).bitwiseOR(place).alias("k"), *SKETCH, "cls")
 
 
 def _met(x: DataFrame, y: DataFrame) -> DataFrame:
@@ -132,12 +148,9 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
     n = lambda s: F.shiftright(F.col(f"{s}.k"), PLACE_BITS).bitwiseAND((1 << SIZE_BITS) - 1)
     room = lambda s: n(s) - F.col(f"{s}.k").bitwiseAND((1 << PLACE_BITS) - 1)
     both = n("x") + n("y")
-    bits = lambda a, b: F.bit_count(a.bitwiseXOR(b))
-    folded = lambda s: F.col(f"{s}.s0").bitwiseXOR(F.col(f"{s}.s1")).bitwiseXOR(F.col(f"{s}.s2")).bitwiseXOR(F.col(f"{s}.s3"))
-    wide = bits(F.col("x.s0"), F.col("y.s0")) + bits(F.col("x.s1"), F.col("y.s1")) + bits(F.col("x.s2"), F.col("y.s2")) + bits(F.col("x.s3"), F.col("y.s3"))
-    apart = F.when(F.least(n("x"), n("y")) > LONG, wide).otherwise(bits(folded("x"), folded("y")))
     length = 5 * F.least(n("x"), n("y")) >= 4 * F.greatest(n("x"), n("y"))
-    return x.alias("x").join(y.alias("y"), key("x") == key("y")).where(length & (9 * F.least(room("x"), room("y")) >= 4 * both) & (9 * apart <= both))
+    near = 9 * _apart("x", "y", n("x"), n("y")) <= both
+    return x.alias("x").join(y.alias("y"), key("x") == key("y")).where(length & (9 * F.least(room("x"), room("y")) >= 4 * both) & near)
 
 
 def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: list[int]) -> DataFrame:
@@ -150,7 +163,7 @@ def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: lis
     lines = docs.join(guarded(where, 200_000), same).select(F.split(_spaced(F.col("text")), "\n", -1).alias("lines"), "_ls")
     lines = lines.select(F.explode(F.transform("_ls", lambda k: F.get("lines", k))).alias("line"))
     # a class comes from one line; where a whole row is repeated it may come twice, which only repeats a result
-    keys = lines.select(_keys(F.col("line"), literal_longs(classes)).alias("keys"))
+    keys = lines.select(_tokens(F.col("line")).alias("tokens")).select(_keys("tokens", classes).alias("keys"))
     keys = cut(keys.select(F.xxhash64("keys").alias("cls"), "keys"))
     a, b = keys.select(F.col("cls").alias("later"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("earlier"), F.col("keys").alias("kb"))
     both = pairs.join(a, "later").join(b, "earlier").withColumn("o", F.size(F.array_intersect("ka", "kb")))
@@ -172,22 +185,22 @@ def _removed(docs: DataFrame) -> DataFrame:
     sets = cut(_sets(docs, classes))
     equal = cut(sets.groupBy("cls").agg(F.min(_place()).alias("first"), F.count("*").alias("m")).where("m > 1").select("cls", "first"))
     one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first")))
-    one = one.select("cls", "n", *SKETCH, "prefix", _place().alias("p"))
-
-    # where a rare key is common, each class against the earliest ones that have it; a key of COMMON classes is of a word met as often
-    rare = F.filter(F.slice("prefix", 1, PIVOTS), lambda x: F.shiftright(x, CLASS_BITS) >= _level(COMMON))
-    key = F.shiftright("k", PACKED)
-    common = cut(_rows(one, rare).groupBy(key.alias("_k")).count().where(F.col("count") >= COMMON).select("_k"))
-    heads = _rows(one, rare, "p").join(guarded(common), F.col("_k") == key, "left_semi")
-    pivots = heads.groupBy(key, F.pmod("cls", F.lit(SIDES))).agg(F.min(F.struct("p", "k", *SKETCH, "cls")).alias("v")).select("v.*")
-    met = _met(heads, pivots).where(F.col("x.p") > F.col("y.p")).select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier"))
-    met = cut(met.distinct())
+    one = one.select("cls", "n", *SKETCH, "bands", "prefix", _place().alias("p"))
+
+    # each class against the earliest one of a shared band
+    band = F.explode("bands").alias("band")
+    shared = cut(one.select(band).groupBy("band").count().where("count > 1").select("band"))
+    heads = one.select("p", "cls", "n", *SKETCH, band).join(guarded(shared), "band", "left_semi")
+    pivots = heads.groupBy("band").agg(F.min(F.struct("p", "cls", "n", *SKETCH)).alias("v")).select("band", "v.*")
+    met = heads.alias("x").join(pivots.alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
+    met = met.where(9 * _apart("x", "y", F.col("x.n"), F.col("y.n")) <= F.col("x.n") + F.col("y.n"))
+    met = cut(met.select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier")).distinct())
     settled = _verified(met, one, docs, classes)
     done = cut(settled.select(F.col("later").alias("cls")).distinct())
 
     # the rest against all: first each class and its earliest candidate, then the candidates of those still unsettled
     few = guarded(done)
-    todo, past = _rows(one.join(few, "cls", "left_anti"), F.col("prefix")), _rows(one.join(few, "cls", "left_semi"), F.col("prefix"))
+    todo, past = _rows(one.join(few, "cls", "left_anti")), _rows(one.join(few, "cls", "left_semi"))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
     found = cut(_met(todo, todo).where(F.col("x.cls") < F.col("y.cls")).select(*ends).unionByName(_met(todo, past).select(*ends)).distinct())
     ids = cut(found.select(F.col("a").alias("cls")).unionByName(found.select(F.col("b").alias("cls"))).distinct())
@@ -199,14 +212,14 @@ def _removed(docs: DataFrame) -> DataFrame:
     early = cut(pairs.groupBy("later").agg(F.min(F.struct("p", "earlier")).alias("e")).select("later", "e.earlier"))
     sure = _verified(early, at, docs, classes)
     rest = cut(pairs.select("later", "earlier").join(guarded(sure.select("later")), "later", "left_anti").join(early, ["later", "earlier"], "left_anti"))
-    more = _verified(rest, at, docs, classes)
+    more = rest if rest.isEmpty() else _verified(rest, at, docs, classes)
 
     # all lines of a class with an earlier partner, and all but the first of equal lines
     near = done.unionByName(sure.unionByName(more).select(F.col("later").alias("cls"))).distinct()
     near = cut(near.withColumn("near", F.lit(True)))
     light = sets.select("doc_id", "h", "line_no", "cls").join(guarded(near), "cls", "left").join(guarded(equal), "cls", "left")
     out = cut(light.where(F.col("near") | (_place() > F.col("first"))).select("doc_id", "h", "line_no"))
-    for step in (sets, equal, common, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
+    for step in (sets, equal, shared, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
         discard(step)
     return out
 

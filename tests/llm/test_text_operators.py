@@ -165,8 +165,7 @@ def removed(texts):
     return out
 
 
-def test_line_dedup(spark, monkeypatch):
-    monkeypatch.setattr(E, "COMMON", 2)
+def test_line_dedup(spark):
     r = random.Random(3)
     vocabulary = [f"w{k}" for k in range(400)]
     stock = [" ".join(r.choices(vocabulary, k=r.randint(3, 40))) for _ in range(40)]
