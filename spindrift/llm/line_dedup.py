@@ -18,8 +18,8 @@ candidates the earliest first, and the others only where that one fails.
 All of it is DataFrame functions; no Python runs on the executors.
 
 Skew: equal lines are one class before any prefix is dealt out. Each class is then held against the
-earliest class with the same two extreme token hashes, for four places of the hashes' range (a MinHash of
-two tokens each). A class similar to it is settled, and only unsettled classes search on, so a group of
+earliest class with the same two extreme hashes of its rarer tokens, for four places of the hashes' range
+(a MinHash of two tokens each). A class similar to it is settled, and only unsettled classes search on, so a group of
 near copies costs rows in proportion to its size. This only settles early what the search would find too.
 
 Results for odd input: null text has no lines and stays null; empty and blank lines stay; rows with a null doc_id
@@ -40,9 +40,10 @@ from .common import cut, discard, free_names, guarded, literal_longs
 
 SIMILARITY = 0.8
 LEAST_NEAR = 4
-BUCKETS = 1 << 18
+BUCKETS = 1 << 17
 CLASS_BITS = 57
 LOW = (1 << CLASS_BITS) - 1
+MIDDLE = 1 << CLASS_BITS - 1
 #: Sets of more tokens than these have a sketch of 128, and of 256 bits.
 LONG, LONGER = 64, 128
 #: Documents and lines up to which the removed line numbers are broadcast to the texts.
@@ -79,8 +80,8 @@ def rarity(docs: DataFrame) -> list[int]:
 
 
 def _tokens(line: Column) -> Column:
-    """The hashes of a line's tokens."""
-    return F.array_distinct(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
+    """The hashes of a line's tokens, in order."""
+    return F.array_distinct(F.sort_array(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))))
 
 
 def _keys(tokens: str, classes: list[int]) -> Column:
@@ -101,8 +102,8 @@ def _parity(parts: int, part: int) -> Column:
 
 
 def _bands() -> Column:
-    """Hashes of the two least and the two greatest negative and positive token hashes; `order`: them in order, with a 0 at place `zero`."""
-    ends = (F.lit(0), F.greatest(F.col("zero") - 3, F.lit(0)), F.col("zero"), F.greatest(F.size("order") - 2, F.lit(0)))  # places from 0
+    """Hashes of the two least and the two greatest hashes on each side of `MIDDLE`; `order`: the hashes in order, with MIDDLE at place `mid`."""
+    ends = (F.lit(0), F.greatest(F.col("mid") - 3, F.lit(0)), F.col("mid"), F.greatest(F.size("order") - 2, F.lit(0)))  # places from 0
     return F.array(*[F.xxhash64(F.get("order", i), F.get("order", i + 1), F.lit(k)) for k, i in enumerate(ends)])
 
 
@@ -110,15 +111,17 @@ def _sets(docs: DataFrame, classes: list[int]) -> DataFrame:
     """(doc_id, h, line_no, cls, n, s0..s3, bands, prefix) of every line with tokens; bands and prefix are empty under `LEAST_NEAR` tokens."""
     lines = docs.select("doc_id", "h", F.posexplode(F.split(_spaced(F.col("text")), "\n", -1)).alias("line_no", "line")).where("trim(line) <> ''")
     own = ["doc_id", "h", "line_no"]
-    zero = F.lit(0).cast("long")
     keys = lines.select(*own, _tokens(F.col("line")).alias("tokens"))
-    keys = keys.select(*own, _keys("tokens", classes).alias("keys"), F.sort_array(F.array_append("tokens", zero)).alias("order"))
-    keys = keys.select("*", F.array_position("order", zero).cast("int").alias("zero"))
+    keys = keys.select(*own, F.xxhash64("tokens").alias("cls"), _keys("tokens", classes).alias("keys"))
+    middle, zero = F.lit(MIDDLE), F.lit(0).cast("long")
+    rarer = F.slice("keys", F.lit(1), F.floor((F.size("keys") + 1) / 2).cast("int"))  # common words would bring unlike lines together
+    order = F.sort_array(F.array_append(F.transform(rarer, lambda k: k.bitwiseAND(LOW)), middle))
+    keys = keys.select(*own, "cls", "keys", order.alias("order")).select("*", F.array_position("order", middle).cast("int").alias("mid"))
     n = F.size("keys")
     sketch = [F.when(n > LONGER, _parity(4, k)).when(n > LONG, _parity(2, k) if k < 2 else zero).otherwise(zero if k else _parity(1, 0)).alias(s) for k, s in enumerate(SKETCH)]
     size = F.when(n >= LEAST_NEAR, n - F.floor((4 * n + 4) / 5).cast("int") + 1).otherwise(0)
     bands = F.when(n >= LEAST_NEAR, _bands()).otherwise(F.array().cast("array<bigint>"))
-    return keys.select(*own, F.xxhash64("keys").alias("cls"), n.alias("n"), *sketch, bands.alias("bands"), F.slice("keys", F.lit(1), size).alias("prefix"))
+    return keys.select(*own, "cls", n.alias("n"), *sketch, bands.alias("bands"), F.slice("keys", F.lit(1), size).alias("prefix"))
 
 
 def _apart(x: str, y: str, nx: Column, ny: Column) -> Column:
@@ -153,7 +156,7 @@ def _met(x: DataFrame, y: DataFrame) -> DataFrame:
     return x.alias("x").join(y.alias("y"), key("x") == key("y")).where(length & (9 * F.least(room("x"), room("y")) >= 4 * both) & near)
 
 
-def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: list[int]) -> DataFrame:
+def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame:
     """The (later, earlier) of `pairs` whose token sets really have the similarity. `places`: cls, p (a line with the set)."""
     ids = pairs.select(F.col("later").alias("cls")).unionByName(pairs.select(F.col("earlier").alias("cls"))).distinct()
     ids = cut(ids)
@@ -163,7 +166,7 @@ def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame, classes: lis
     lines = docs.join(guarded(where, 200_000), same).select(F.split(_spaced(F.col("text")), "\n", -1).alias("lines"), "_ls")
     lines = lines.select(F.explode(F.transform("_ls", lambda k: F.get("lines", k))).alias("line"))
     # a class comes from one line; where a whole row is repeated it may come twice, which only repeats a result
-    keys = lines.select(_tokens(F.col("line")).alias("tokens")).select(_keys("tokens", classes).alias("keys"))
+    keys = lines.select(_tokens(F.col("line")).alias("keys"))
     keys = cut(keys.select(F.xxhash64("keys").alias("cls"), "keys"))
     a, b = keys.select(F.col("cls").alias("later"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("earlier"), F.col("keys").alias("kb"))
     both = pairs.join(a, "later").join(b, "earlier").withColumn("o", F.size(F.array_intersect("ka", "kb")))
@@ -195,14 +198,16 @@ def _removed(docs: DataFrame) -> DataFrame:
     met = heads.alias("x").join(pivots.alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
     met = met.where(9 * _apart("x", "y", F.col("x.n"), F.col("y.n")) <= F.col("x.n") + F.col("y.n"))
     met = cut(met.select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier")).distinct())
-    settled = _verified(met, one, docs, classes)
+    settled = _verified(met, one, docs)
     done = cut(settled.select(F.col("later").alias("cls")).distinct())
 
     # the rest against all: first each class and its earliest candidate, then the candidates of those still unsettled
     few = guarded(done)
     todo, past = _rows(one.join(few, "cls", "left_anti")), _rows(one.join(few, "cls", "left_semi"))
     ends = [F.col("x.cls").alias("a"), F.col("y.cls").alias("b")]
-    found = cut(_met(todo, todo).where(F.col("x.cls") < F.col("y.cls")).select(*ends).unionByName(_met(todo, past).select(*ends)).distinct())
+    # both conditions on cls let the plan read one exchange of `todo` three times
+    found = _met(todo, todo).where(F.col("x.cls") < F.col("y.cls")).select(*ends).unionByName(_met(todo, past).where(F.col("x.cls") != F.col("y.cls")).select(*ends))
+    found = cut(found.distinct())
     ids = cut(found.select(F.col("a").alias("cls")).unionByName(found.select(F.col("b").alias("cls"))).distinct())
     at = cut(one.select("cls", "p").join(guarded(ids), "cls", "left_semi").groupBy("cls").agg(F.min("p").alias("p")))
     named = found.join(at.select(F.col("cls").alias("a"), F.col("p").alias("pa")), "a").join(at.select(F.col("cls").alias("b"), F.col("p").alias("pb")), "b")
@@ -210,9 +215,9 @@ def _removed(docs: DataFrame) -> DataFrame:
     pairs = named.select(F.when(first, F.col("b")).otherwise(F.col("a")).alias("later"), F.when(first, F.col("a")).otherwise(F.col("b")).alias("earlier"), F.least("pa", "pb").alias("p"))
     pairs = cut(pairs.join(few.withColumnRenamed("cls", "later"), "later", "left_anti"))
     early = cut(pairs.groupBy("later").agg(F.min(F.struct("p", "earlier")).alias("e")).select("later", "e.earlier"))
-    sure = _verified(early, at, docs, classes)
+    sure = _verified(early, at, docs)
     rest = cut(pairs.select("later", "earlier").join(guarded(sure.select("later")), "later", "left_anti").join(early, ["later", "earlier"], "left_anti"))
-    more = rest if rest.isEmpty() else _verified(rest, at, docs, classes)
+    more = rest if rest.isEmpty() else _verified(rest, at, docs)
 
     # all lines of a class with an earlier partner, and all but the first of equal lines
     near = done.unionByName(sure.unionByName(more).select(F.col("later").alias("cls"))).distinct()
