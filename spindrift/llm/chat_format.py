@@ -12,7 +12,8 @@ per conversation the small matrices give the states at all segment borders; then
 on its own. So no task holds a long conversation's texts, and the result is one row per output piece, in
 the order (turn, piece): concatenating `rendered` over a conversation gives its chat text.
 
-Results for odd input: equal rows (same conversation, turn, role and text) count once; rows with a null
+Results for odd input: equal rows (same conversation, turn, role and text) count once, or as often as they
+are there with `repeats`; rows with a null
 conv_id are conversations of their own; null turns come last; a null role, or one not known, may become
 any role for `UNKNOWN`; null texts are empty; an empty table gives an empty result; other columns are
 ignored. Ties prefer keeping over merging over inserting, and the earlier state.
@@ -139,9 +140,10 @@ def pieces(turns: list[dict], first: int, last: int, final: bool) -> list[tuple]
     return out
 
 
-def _segments(turns: DataFrame, block: int, limit: int) -> DataFrame:
+def _segments(turns: DataFrame, block: int, limit: int, repeats: bool) -> DataFrame:
     """(conv, conv_id, seg, turns): seg orders a conversation's segments, turns are in order."""
-    t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").groupBy("conv_id", "turn", "role", "text").count().drop("count")
+    t = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text").groupBy("conv_id", "turn", "role", "text").count()
+    t = t.withColumn("count", F.explode(F.sequence(F.lit(1).cast("long"), "count"))).drop("count") if repeats else t.drop("count")
     t = t.withColumn("h", F.xxhash64("role", "text"))
     conv = F.when(F.col("conv_id").isNotNull(), F.col("conv_id").cast("string")).otherwise(F.sha2(F.concat_ws("|", F.lit("null"), F.col("turn").cast("string"), "role", "text"), 256))
     late = F.lit((1 << 62) // block)
@@ -156,7 +158,7 @@ def _segments(turns: DataFrame, block: int, limit: int) -> DataFrame:
     return t.withColumn("seg", seg).groupBy("conv", "conv_id", "seg").agg(F.sort_array(F.collect_list(row)).alias("turns"))
 
 
-def chat_format(turns: DataFrame, block: int = BLOCK, limit: int = LIMIT) -> DataFrame:
+def chat_format(turns: DataFrame, block: int = BLOCK, limit: int = LIMIT, repeats: bool = False) -> DataFrame:
     """(conv_id, turn, segment, piece, role, action, rendered, cost): the repaired pieces of all conversations.
 
     Order within a conversation: segment, piece. cost: of the whole conversation's repair. action: keep,
@@ -164,7 +166,7 @@ def chat_format(turns: DataFrame, block: int = BLOCK, limit: int = LIMIT) -> Dat
     stand.
     """
     kind = turns.schema["conv_id"].dataType.simpleString()
-    segments = cut(_segments(turns, block, limit))
+    segments = cut(_segments(turns, block, limit, repeats))
     flat = "array<bigint>"
 
     @F.pandas_udf(flat)

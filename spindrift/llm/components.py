@@ -2,27 +2,34 @@
 
 Kiveris et al., "Connected Components in MapReduce and Beyond" (2014). Each step takes a minimum per
 node (combined before its shuffle) and one join; nothing about the graph reaches the driver but a
-row count and a checksum.
+row count and a checksum. A hub's edges are not dealt to one task: up to `SMALL` edges (counted) the
+minima are broadcast to where the edges lie; beyond that adaptive execution splits the join's large keys.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, discard
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+#: Edges up to which the minima of their nodes are broadcast.
+SMALL = 500_000
+
+
+def _large_star(e: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
     both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return both.where("v > u").join(hint(least), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, hint: Callable[[DataFrame], DataFrame]) -> DataFrame:
     down = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v")
     least = down.groupBy("u").agg(F.min("v").alias("m"))
-    moved = down.join(least, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    moved = down.join(hint(least), "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
 
@@ -39,7 +46,8 @@ def components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     e = cut(edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).where("u <> v").distinct())
     seen = _sum(e)
     while seen[0]:
-        nxt = cut(_small_star(_large_star(e)).distinct())
+        hint = F.broadcast if seen[0] <= SMALL else lambda d: d
+        nxt = cut(_small_star(_large_star(e, hint), hint).distinct())
         now = _sum(nxt)
         discard(e)
         e = nxt

@@ -13,7 +13,7 @@ or document is ever gathered in one task; only the BUCKETS weights reach the dri
 Results for odd input: null, empty or blank text has zero counts, a null score and fails (fewer than 10
 words); null doc_ids and repeated rows keep their rows; an empty table gives an empty result; without
 any trusted document every weight is 0, so the base rules alone decide; other columns are ignored by
-`quality` and kept by `quality_filter`.
+`quality` and kept by `quality_filter`, whatever they are called.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, guarded, literal_doubles, words
+from .common import cut, free_names, guarded, literal_doubles, words
 
 BUCKETS = 1 << 15
 #: Mean nats per n-gram; ordinary text scores near 0, text of another make well below.
@@ -121,8 +121,9 @@ def quality_filter(docs: DataFrame, trusted: DataFrame, threshold: float = THRES
     none, are each judged by their own text. Texts are shuffled only if the rejected are too many to
     broadcast.
     """
-    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_h"))
-    gone = quality(hashed, trusted, threshold, keys=["doc_id", "_h"]).where("not kept")
-    gone = cut(gone.select(F.col("doc_id").alias("_id"), F.col("_h").alias("_th")).distinct())
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & F.xxhash64("text").eqNullSafe(F.col("_th"))
+    i, h = free_names(docs, "id", "h")
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    gone = quality(hashed, trusted, threshold, keys=["doc_id", "h"]).where("not kept")
+    gone = cut(gone.select("doc_id", "h").distinct().toDF(i, h))
+    same = F.col("doc_id").eqNullSafe(F.col(i)) & F.xxhash64("text").eqNullSafe(F.col(h))
     return docs.join(guarded(gone), same, "left_anti")

@@ -145,26 +145,26 @@ def secrets(docs: DataFrame, labelled: list[tuple[str, int]] | None = None, thre
         """array<struct<b, e, score>> of a run: itself, or its stretches, from 0."""
         hit = m["hit"]
         n = F.length(hit)
-        ratio = lambda i: F.get(table, (F.ascii(F.substr(hit, i, F.lit(1))) - FIRST) * SPAN + F.ascii(F.substr(hit, i + 1, F.lit(1))) - FIRST)
+        codes = F.transform(F.split(hit, ""), lambda c: F.ascii(c) - FIRST)  # the run is cut into characters once
+        ratio = lambda a, b: F.get(table, a * SPAN + b)
+        values = F.zip_with(F.slice(codes, F.lit(1), n - 1), F.slice(codes, F.lit(2), n - 1), ratio)
+        mean = F.aggregate(values, F.lit(0.0), lambda a, v: a + v) / (n - 1)
         zero, at = F.lit(0.0), F.lit(0)
-        begin = F.struct(zero.alias("all"), zero.alias("s"), zero.alias("m"), at.alias("b"), at.alias("e"), F.array().cast("array<struct<b:int,e:int,score:double>>").alias("out"))
+        begin = F.struct(zero.alias("s"), zero.alias("m"), at.alias("b"), at.alias("e"), F.array().cast("array<struct<b:int,e:int,score:double>>").alias("out"))
         found = lambda a: F.when(a["m"] >= EVIDENCE, F.concat(a["out"], F.array(F.struct(a["b"].alias("b"), (a["e"] + 1).alias("e"), (a["m"] / (a["e"] - a["b"]) + threshold).alias("score"))))).otherwise(a["out"])
 
         def step(a: Column, x: Column) -> Column:
-            s = a["s"] + x["v"] - threshold
-            ends, higher = (s <= 0) | (s < a["m"] - FALL), s > a["m"]
-            return F.struct(
-                (a["all"] + x["v"]).alias("all"),
-                F.when(ends, zero).otherwise(s).alias("s"),
-                F.when(ends, zero).otherwise(F.greatest(a["m"], s)).alias("m"),
-                F.when(ends, x["i"]).otherwise(a["b"]).alias("b"),
-                F.when(ends | higher, x["i"]).otherwise(a["e"]).alias("e"),
-                F.when(ends, found(a)).otherwise(a["out"]).alias("out"),
-            )
-
-        steps = F.transform(F.sequence(F.lit(1), n - 1), lambda i: F.struct(i.alias("i"), ratio(i).alias("v")))
-        whole = lambda a: F.array(F.struct(at.alias("b"), n.alias("e"), (a["all"] / (n - 1)).alias("score")))
-        return F.aggregate(steps, begin, step, lambda a: F.when(a["all"] / (n - 1) >= threshold, whole(a)).otherwise(found(a)))
+            def of(s: Column) -> Column:
+                ended = F.struct(zero.alias("s"), zero.alias("m"), x["i"].alias("b"), x["i"].alias("e"), found(a).alias("out"))
+                higher = F.struct(s.alias("s"), s.alias("m"), a["b"].alias("b"), x["i"].alias("e"), a["out"].alias("out"))
+                lower = F.struct(s.alias("s"), a["m"].alias("m"), a["b"].alias("b"), a["e"].alias("e"), a["out"].alias("out"))
+                return F.when((s <= 0) | (s < a["m"] - FALL), ended).when(s > a["m"], higher).otherwise(lower)
+
+            return F.get(F.transform(F.array(a["s"] + x["v"] - threshold), of), F.lit(0))  # the sum is made once
+
+        steps = F.transform(values, lambda v, i: F.struct((i + 1).alias("i"), v.alias("v")))
+        whole = lambda score: F.array(F.struct(at.alias("b"), n.alias("e"), score.alias("score")))
+        return F.flatten(F.transform(F.array(mean), lambda score: F.when(score >= threshold, whole(score)).otherwise(F.aggregate(steps, begin, step, found))))
 
     def bordered(m: Column, x: Column) -> Column:
         """The span of a stretch: from the border in its first characters, or the one before it, to the one after it."""

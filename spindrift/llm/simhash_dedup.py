@@ -8,8 +8,9 @@ a common orthogonal v, so any pair within the radius agrees on all kept bits of
 
 A bucket of at most `BUCKET` fingerprints is searched by popcount in one task and gives a spanning
 forest of its links, never all pairs. A larger bucket is dealt out again by the same construction over
-the 30 bits its table ignores; a bucket of that second level has at most 2**14 different fingerprints,
-which bounds it whatever the data. Exact copies are one fingerprint from the start.
+the bits its table ignores (up to 32); a bucket of that second level has at most 2**16 different
+fingerprints, as up to 16 bits are ignored by both masks, which bounds it whatever the data: half a MB in
+one task, searched in 2**16 vector steps. Exact copies are one fingerprint from the start.
 
 Results for odd input: null, empty or blank text has fingerprint zero; rows with a null doc_id are kept
 and get the component of their fingerprint (null if no member has an id); repeated rows and tied ids

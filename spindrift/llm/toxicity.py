@@ -40,7 +40,8 @@ FOLDS = 5
 WINDOW = 6
 MIN_DOCS = 4
 MIN_ODDS = 2.5
-TERMS = 2_000
+#: Terms of the lexicon, the strongest first; None for all that pass.
+TERMS: int | None = 2_000
 STEMS = range(4, 9)
 
 TOKEN = re.compile(r"[^\W_]+(?:[*@$'][^\W_]+)*|[!?\"“”„«»‘’]")
@@ -178,8 +179,8 @@ def _sample(docs: DataFrame, labels: DataFrame, bound: int) -> DataFrame:
     return cut(docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "toxic"))
 
 
-def learn_terms(sample: DataFrame) -> list[tuple[str, bool]]:
-    """Terms that toxic documents of the sample (text, toxic) have far more often than the others; at most `TERMS`."""
+def learn_terms(sample: DataFrame, most: int | None = TERMS) -> list[tuple[str, bool]]:
+    """Terms that toxic documents of the sample (text, toxic) have far more often than the others; the `most` strongest of them."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
@@ -199,7 +200,8 @@ def learn_terms(sample: DataFrame) -> list[tuple[str, bool]]:
     both = sample.mapInPandas(count, "term string, bad bigint, good bigint").groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
     odds = F.log((F.col("bad") + 0.5) / (n1 + 1)) - F.log((F.col("good") + 0.5) / (n0 + 1))
     top = both.where(F.col("bad") >= MIN_DOCS).withColumn("odds", odds).where(F.col("odds") >= MIN_ODDS)
-    top = top.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "term").limit(TERMS).collect()
+    top = top.orderBy(F.desc(F.col("odds") * F.sqrt("bad")), "term")
+    top = (top if most is None else top.limit(most)).collect()  # at most the terms of the bounded sample
     bad = {r["term"]: r["bad"] for r in top}
     stems, out = {t for t in bad if t[-1] != "$"}, []
     longer: dict[str, int] = {}
@@ -227,10 +229,10 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int = 30) -> np
     return w
 
 
-def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[list[tuple[str, bool]], list[float]]:
+def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, most: int | None = TERMS) -> tuple[list[tuple[str, bool]], list[float]]:
     """Terms and weights."""
     sample = _sample(docs, labels, bound)
-    terms = sorted({*learn_terms(sample), *((w, False) for w in INSULTS)})
+    terms = sorted({*learn_terms(sample, most), *((w, False) for w in INSULTS)})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(terms)
@@ -247,9 +249,9 @@ def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> tuple[list
     return terms, fit(x, y).tolist()
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> DataFrame:
-    """(doc_id, held_out, score, predicted, features...) for every row of `docs` (doc_id, text)."""
-    terms, weights = learn(docs, labels, bound)
+def toxicity(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE, most: int | None = TERMS) -> DataFrame:
+    """(doc_id, held_out, score, predicted, features...) for every row of `docs` (doc_id, text); `bound`: labelled rows to learn from, `most`: terms."""
+    terms, weights = learn(docs, labels, bound, most)
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
