@@ -128,7 +128,8 @@ def fit(docs: DataFrame, labelled: DataFrame) -> Model:
     ratio = [F.log((F.col(f"c_{k}") + PRIOR) / (expected[k] + PRIOR)) for k in k_]
     bounded = [F.when(real[k], F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), ratio[k]))).otherwise(0.0).alias(f"w_{k}") for k in k_]
     weights = cut(counts.select("b", *bounded).where(" or ".join(f"w_{k} <> 0" for k in k_)))
-    few = held.withColumn("_rank", F.xxhash64("_id")).orderBy("_rank", "_id").limit(HELD).select("text", "_d")
+    first = cut((known.where("_held") if apart else known).select("_id").orderBy(F.xxhash64("_id"), "_id").limit(HELD))  # ids, not texts
+    few = held.join(F.broadcast(first), "_id", "left_semi").select("text", "_d")
     xs = [f"x_{k}" for k in range(len(domains))]
     rows = _sums(few, weights, len(domains), ["_d"]).groupBy("_d", "u", *xs).count().orderBy("_d", "u", *xs).collect()
     x = np.array([[r[c] for c in xs] for r in rows for _ in range(r["count"])])
