@@ -31,7 +31,8 @@ def finite(x: Column) -> Column:
 
 
 def clamp_metric(x: Column) -> Column:
-    return clamp(finite(x), -99.0, 99.0)
+    """x within 99 of 0; null for null, NaN and infinities."""
+    return F.when(finite(x).isNotNull(), clamp(x, -99.0, 99.0))
 
 
 def confidence(p, pattern: Column, mape: Column, flags: Column, gap: Column, upstream: Column, bias: Column, truncated: Column, insufficient: Column, reasonable: Column) -> Column:

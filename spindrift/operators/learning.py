@@ -74,7 +74,9 @@ def performance_trend(out: DataFrame, now: Column, days: int = 30) -> DataFrame:
     """Performance of the last `days` days against the days before those, in one pass: (model, horizon, mape, prior_mape, improvement, trend)."""
     age = F.datediff(now, F.col("closed"))
     recent, prior = age < days, (age >= days) & (age < 2 * days)
-    g = out.where("error is not null").groupBy("model", "horizon").agg(F.avg(F.when(recent, F.col("error"))).alias("mape"), F.avg(F.when(prior, F.col("error"))).alias("prior_mape"))
+    # errors have 3 places: sums of decimals do not depend on the order of the rows
+    mean = lambda c: F.sum(F.when(c, F.col("error").cast("decimal(18,3)"))).cast("double") / F.nullif(F.count_if(c), F.lit(0))
+    g = out.where("error is not null").groupBy("model", "horizon").agg(mean(recent).alias("mape"), mean(prior).alias("prior_mape"))
     g = g.where("mape is not null")
     return g.select("*", (F.col("mape") - F.col("prior_mape")).alias("improvement"), trend_of(F.col("mape"), F.col("prior_mape")).alias("trend"))
 
@@ -93,6 +95,12 @@ def model_health(perf: DataFrame, prior: DataFrame) -> DataFrame:
     return j.select("model", "mape", "prior_mape", (F.col("mape") - F.col("prior_mape")).alias("delta"), t.alias("trend"))
 
 
+def assessment_means(health: DataFrame) -> DataFrame:
+    """One row (mape, prior_mape, delta_pct): the means of the models' mean errors, now and before, each over the models that have one."""
+    g = health.agg(F.avg("mape").alias("mape"), F.avg("prior_mape").alias("prior_mape"))
+    return g.withColumn("delta_pct", F.when(F.col("prior_mape") > 0, (F.col("mape") - F.col("prior_mape")) / F.col("prior_mape") * 100))
+
+
 def run_statistics(results: DataFrame) -> DataFrame:
     """One row of counts, shares and alerts over (tier, status, confidence, fallback)."""
     n = F.count("*")
@@ -125,6 +133,12 @@ def thompson_means(state: DataFrame) -> DataFrame:
     return state.withColumn("mean", F.col("alpha") / (F.col("alpha") + F.col("beta")))
 
 
+def thompson_map(state: DataFrame) -> DataFrame:
+    """(sku, model, state, hashes, first_config): the settings' alpha and beta as a map by hash, the hashes in order and the first."""
+    g = state.groupBy("sku", "model").agg(F.map_from_entries(F.collect_list(F.struct("config_hash", F.struct("alpha", "beta")))).alias("state"))
+    return g.withColumn("hashes", F.sort_array(F.map_keys("state"))).withColumn("first_config", F.get("hashes", F.lit(0)))
+
+
 def thompson_best(state: DataFrame) -> DataFrame:
     """The setting with the highest Beta mean per (sku, model); equal means: the first by hash."""
     return latest(thompson_means(state), ["sku", "model"], F.desc("mean"), F.asc("config_hash"))
@@ -134,10 +148,11 @@ def thompson_sample(state: DataFrame, run: str, budget: int = 3) -> DataFrame:
     """The `budget` settings with the largest draws per (sku, model), the incumbent (highest mean) always among them.
 
     Draws are a function of (sku, model, setting, run): the alpha-th smallest of alpha + beta - 1 uniforms
-    has the Beta distribution for whole alpha and beta, and the uniforms are hashes.
+    has the Beta distribution for whole alpha and beta, and the uniforms are the first 52 bits of MD5 hashes.
     """
     size = (F.round("alpha") + F.round("beta") - 1).cast("int")
-    u = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), size)), lambda k: F.pmod(F.xxhash64("sku", "model", "config_hash", F.lit(run), k), F.lit(1 << 53)) / F.lit(float(1 << 53)))
+    name = lambda k: F.concat_ws("|", F.col("sku").cast("string"), "model", "config_hash", F.lit(run), k.cast("string"))
+    u = F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), size)), lambda k: F.conv(F.substring(F.md5(name(k)), 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52)))
     drawn = thompson_means(state).withColumn("theta", F.get(F.sort_array(u), F.greatest(F.lit(0), F.round("alpha").cast("int") - 1)))
     w = Window.partitionBy("sku", "model")
     r = drawn.withColumns({"_top": F.row_number().over(w.orderBy(F.desc("mean"), "config_hash")), "_rn": F.row_number().over(w.orderBy(F.desc("theta"), "config_hash"))})

@@ -200,3 +200,18 @@ def structural_state(rows_after: Column, broke: Column) -> Column:
 def balanced_chunks(items: DataFrame, chunks: int, order: str) -> DataFrame:
     """`items` with chunk 0..chunks-1: near-equal contiguous parts in order. For bounded work lists."""
     return items.withColumn("chunk", F.ntile(chunks).over(Window.orderBy(order)) - 1)
+
+
+def channel_splits(rows: DataFrame, modes: DataFrame) -> DataFrame:
+    """(tenant, sku, splits): what each item sold by day and channel, in that order, for the tenants whose pipeline_mode is multi_channel.
+
+    `rows`: tenant, sku, d, channel, qty; `modes`: tenant, pipeline_mode.
+    """
+    gated = rows.join(F.broadcast(modes.where("pipeline_mode = 'multi_channel'").select("tenant")), "tenant", "left_semi")
+    return gated.groupBy("tenant", "sku").agg(F.sort_array(F.collect_list(F.struct("d", "channel", "qty"))).alias("splits"))
+
+
+def parent_styles(items: DataFrame, keys: list[str]) -> DataFrame:
+    """(sku, style, n) of every item that is not the style itself: the first item of the same `keys`, and how many share them."""
+    style = items.groupBy(*keys).agg(F.min("sku").alias("style"), F.count("*").alias("n"))
+    return items.join(style, keys).where("sku <> style").select("sku", "style", "n")

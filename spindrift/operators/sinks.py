@@ -40,20 +40,25 @@ class Table:
         for old in self.versions()[:-keep]:
             self._fs.delete(self._path(f"{self.path}/{old}"), True)
 
+    def drop(self) -> None:
+        self._fs.delete(self._path(self.path), True)
+
+
+def _one(rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row per key: that of the greatest `order`, and of equals the first by a hash of the row."""
+    by = ([F.desc(order)] if order else []) + [F.xxhash64(*rows.columns)]
+    return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys).orderBy(*by))).where("_rn = 1").drop("_rn")
+
 
 def insert_ignored(current: DataFrame | None, rows: DataFrame, keys: list[str]) -> DataFrame:
     """`current` plus the rows whose keys it lacks; of equal new keys one row."""
-    fresh = rows.dropDuplicates(keys)
+    fresh = _one(rows, keys)
     return fresh if current is None else current.unionByName(fresh.join(current.select(*keys), keys, "left_anti"))
 
 
 def upserted(current: DataFrame | None, rows: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
     """`current` with `rows` put over it by key; of equal keys in `rows` the greatest `order` wins."""
-    if order:
-        w = Window.partitionBy(*keys).orderBy(F.desc(order), F.xxhash64(*rows.columns))
-        rows = rows.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
-    else:
-        rows = rows.dropDuplicates(keys)
+    rows = _one(rows, keys, order)
     return rows if current is None else current.join(rows.select(*keys), keys, "left_anti").unionByName(rows)
 
 
@@ -61,7 +66,7 @@ def counted_upsert(current: DataFrame | None, rows: DataFrame, keys: list[str],
     """Upsert that adds 1 to `counter` on a key that is there and leaves its `fixed` columns alone."""
     if current is None:
         return rows.withColumn(counter, F.lit(1).cast("long"))
-    new = rows.dropDuplicates(keys).select(*keys, *[F.col(c).alias(f"_{c}") for c in rows.columns if c not in keys])
+    new = _one(rows, keys).select(*keys, *[F.col(c).alias(f"_{c}") for c in rows.columns if c not in keys])
     j = current.join(new, keys, "full")
     names = [c for c in current.columns if c not in keys]
     own = lambda c: F.coalesce(c, f"_{c}") if c in fixed else F.coalesce(f"_{c}", c)

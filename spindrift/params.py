@@ -154,6 +154,12 @@ def missing(params: DataFrame) -> DataFrame:
     return want.join(F.broadcast(names), "param_name", "left_semi").join(params.select("tenant_id", "param_name"), ["tenant_id", "param_name"], "left_anti").select("tenant_id", "param_name")
 
 
+def seeded(params: DataFrame, **overrides: float) -> DataFrame:
+    """`params` (tenant_id, param_name, value) with the starting values, or overrides, of what a tenant lacks; what is there stays."""
+    start = params.sparkSession.createDataFrame(list(defaults(**overrides).items()), "param_name string, value double")
+    return params.unionByName(missing(params).join(F.broadcast(start), "param_name").select("tenant_id", "param_name", "value"))
+
+
 def ema(current: Column, evidence: Column, rate: Column | float) -> Column:
     """One step of the learning loop: the current value moved towards the evidence."""
     return current + (rate if isinstance(rate, Column) else F.lit(rate)) * (evidence - current)

@@ -73,8 +73,12 @@ def tuned(s: DataFrame) -> DataFrame:
 
 
 def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
-    """Forecasts of `s` (sku, ds, q, n; optional pattern, criticality, oos_pct, detection, upstream, watchlist, bias, gap)."""
+    """Forecasts of `s` (sku, ds, q, n; optional pattern, criticality, oos_pct, detection, upstream, watchlist, bias, gap, alerts).
+
+    Items with `alerts` have their series searched for a structural break, which lowers their confidence.
+    """
     have = set(s.columns)
+    broken = A.structural_break(s.where("alerts").select("sku", "q")).select("sku", F.col("state").alias("_broken")) if "alerts" in have else None
     s = s if "pattern" in have else classify(s)
     given = {"criticality": F.lit("B"), "oos_pct": F.lit(None).cast("double"), "detection": F.lit(None).cast("double"), "upstream": F.lit(None).cast("double"), "watchlist": F.lit(False), "bias": F.lit(1.0), "gap": F.lit(None).cast("double"), "max_horizon": F.lit(365)}
     s = s.withColumns({k: v for k, v in given.items() if k not in have})
@@ -103,8 +107,9 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     base = M.mean(M.last(F.col("q"), P.REASONABLE_BASELINE_ROWS))
     odd, mult = S.reasonableness(p, F.get("_t", F.lit(P.HORIZONS.index(P.REASONABLE_HORIZON))), base, F.col("n"))
     s = s.withColumn("flags", F.concat("flags", odd)).withColumn("_m", mult)
-    no = F.lit(False)
-    c = S.confidence(p, F.col("pattern"), F.col("mape"), F.col("flags"), F.col("gap"), F.col("upstream"), F.col("bias"), no, no, F.col("_m"))
+    s = s.withColumn("_broken", F.lit("none")) if broken is None else s.join(broken, "sku", "left")
+    cut = lambda state: F.coalesce(F.col("_broken") == state, F.lit(False))
+    c = S.confidence(p, F.col("pattern"), F.col("mape"), F.col("flags"), F.col("gap"), F.col("upstream"), F.col("bias"), cut("truncated"), cut("insufficient"), F.col("_m"))
     s = s.withColumn("confidence", c)
     return s.select(
         "sku", "n", "pattern", "model", "alpha", "val_mape", "window", "mape", F.col("_e.wape").alias("wape"), F.col("_e.bias").alias("error_bias"), "flags",

@@ -27,12 +27,12 @@ D_BRAND = "db AS (SELECT p_brand AS sku, CAST(l_shipdate AS DATE) AS d, sum(l_qu
 S_BRAND = f"{D_BRAND}, sb AS (SELECT sku, list(qty ORDER BY d) AS q, max(d) AS last_d, count(*) AS n FROM db WHERE d > (SELECT max(d) FROM db) - 730 GROUP BY 1)"
 S_PART = f"{D_PART}, sp AS (SELECT sku, list(qty ORDER BY d) AS q, count(*) AS n FROM dp WHERE d > (SELECT max(d) FROM dp) - 730 GROUP BY 1)"
 DENSE = f"{D_PART}, ends AS (SELECT max(d) AS e FROM dp), it AS (SELECT DISTINCT sku FROM dp, ends WHERE d > e - 90), g AS (SELECT sku, CAST(e - CAST(i AS INTEGER) AS DATE) AS d FROM it, ends, range(90) r(i)), dn AS (SELECT g.sku, g.d, coalesce(dp.qty, 0) AS qty FROM g LEFT JOIN dp ON g.sku = dp.sku AND g.d = dp.d)"
-ACT = "act AS (SELECT l_partkey AS sku, CAST(o_orderdate AS DATE) AS d, sum(l_quantity) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"
+ACT = "act AS MATERIALIZED (SELECT l_partkey AS sku, CAST(o_orderdate AS DATE) AS d, sum(l_quantity) AS qty FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2)"
 PATTERN = "CASE sku % 5 WHEN 0 THEN 'cold_start' WHEN 1 THEN 'intermittent' WHEN 2 THEN 'seasonal' WHEN 3 THEN 'trending' ELSE 'stable' END"
 MODEL = "CASE sku % 5 WHEN 0 THEN 'naive_forecast' WHEN 1 THEN 'croston' WHEN 2 THEN 'prophet' WHEN 3 THEN 'holts_linear_trend' ELSE 'simple_exponential_smoothing' END"
 FC = f"""{ACT}, made AS (SELECT (SELECT max(d) FROM act) - k AS created FROM (VALUES (100), (45), (10)) t(k)),
-rate AS (SELECT sku, created, sum(qty) / 365 AS r FROM act, made WHERE d < created AND d >= created - 365 GROUP BY 1, 2),
-fc AS (SELECT sku, created, {PATTERN} AS pattern, {MODEL} AS model, CASE WHEN sku % 5 IN (3, 4) THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END AS quantile, h AS horizon,
+rate AS MATERIALIZED (SELECT sku, created, sum(qty) / 365 AS r FROM act, made WHERE d < created AND d >= created - 365 GROUP BY 1, 2),
+fc AS MATERIALIZED (SELECT sku, created, {PATTERN} AS pattern, {MODEL} AS model, CASE WHEN sku % 5 IN (3, 4) THEN 0.8::DOUBLE ELSE 0.9::DOUBLE END AS quantile, h AS horizon,
 round(r * h, 4) AS p50, round(r * h * 1.2, 4) AS p80, round(r * h * 1.4, 4) AS p90 FROM rate, (VALUES (7), (14), (30), (60), (90)) t(h))"""
 OUT = f"""{FC}, spans AS (SELECT f.*, sum(a.qty) AS actual, count(a.qty) AS n_days FROM fc f JOIN act a ON a.sku = f.sku AND a.d >= f.created AND a.d < f.created + f.horizon GROUP BY ALL),
 outc AS (SELECT *, CASE WHEN quantile = 0.5 THEN p50 WHEN quantile = 0.8 THEN p80 ELSE p90 END AS forecast FROM spans),
@@ -449,7 +449,10 @@ def thompson_best_config(spark, d):
     return L.thompson_best(_thompson(spark, d)).select("sku", "model", "config_hash")
 
 
-@query()
+_DRAW = "list_sort(list_transform(range(1, CAST(alpha + beta AS BIGINT)), lambda k: CAST('0x' || substr(md5(sku || '|' || model || '|' || config_hash || '|run-1|' || k), 1, 13) AS BIGINT) / 4503599627370496.0))[CAST(alpha AS BIGINT)]"
+
+
+@query(f"WITH {_TS}, dr AS (SELECT *, {_DRAW} AS theta, alpha / (alpha + beta) AS m FROM ts), r AS (SELECT *, row_number() OVER (PARTITION BY sku, model ORDER BY m DESC, config_hash) AS top, row_number() OVER (PARTITION BY sku, model ORDER BY theta DESC, config_hash) AS rn FROM dr), k AS (SELECT *, max(CASE WHEN top = 1 AND rn <= 1 THEN 1 ELSE 0 END) OVER (PARTITION BY sku, model) AS has FROM r) SELECT sku, model, config_hash, round(theta, 6) AS theta, top = 1 AS incumbent FROM k WHERE top = 1 OR rn <= has")
 def thompson_sample_topk(spark, d):
     return L.thompson_sample(_thompson(spark, d), "run-1", 1).select("sku", "model", "config_hash", _r("theta").alias("theta"), "incumbent")
 
@@ -581,11 +584,14 @@ def outcome_actuals_range_join(spark, d):
     return r.select("sku", "created", "horizon", _r("actual", 4).alias("actual"), F.col("n_days").cast("long").alias("n_days"))
 
 
-@query(f"WITH {OUT} SELECT sku, created, horizon, forecast, round(CAST(abs(CAST(actual AS DECIMAL(18,4)) - CAST(forecast AS DECIMAL(18,4))) AS DOUBLE) / actual, 2) AS error, bias > 0 AS over FROM outs")
+# the errors in whole numbers: ten-thousandths of a unit, halves away from 0
+_UNITS = "CAST(CAST(round({c} * 10000) AS BIGINT) AS HUGEINT)"
+_THIRD = "((2000 * abs(a - f) + a) // (2 * a))::DOUBLE / 1000"
+
+
+@query(f"WITH {OUT}, e AS (SELECT *, {_UNITS.format(c='forecast')} AS f, {_UNITS.format(c='actual')} AS a FROM outc WHERE created + horizon <= (SELECT max(d) FROM act)) SELECT sku, created, horizon, forecast, CASE WHEN a <> 0 THEN {_THIRD} END AS error, CASE WHEN a <> 0 THEN sign(f - a) * {_THIRD} + 0.0 END AS bias FROM e")
 def outcome_errors(spark, d):
-    o = _outcomes(spark, d)
-    raw = F.abs(F.col("actual").cast("decimal(18,4)") - F.col("forecast").cast("decimal(18,4)")).cast("double") / F.col("actual")
-    return o.select("sku", "created", "horizon", "forecast", _r(raw, 2).alias("error"), (F.col("bias") > 0).alias("over"))
+    return _outcomes(spark, d).select("sku", "created", "horizon", "forecast", "error", "bias")
 
 
 @query(f"WITH {OUT}, g AS (SELECT pattern, model, quantile, horizon, count(*) AS n, avg(CASE WHEN actual <= forecast THEN 1.0 ELSE 0.0 END) AS c FROM outs GROUP BY 1, 2, 3, 4) SELECT pattern, model, horizon, n, round_even(c, 3) AS coverage, round_even(quantile, 3) AS target, round_even(c - quantile, 4) AS gap FROM g")
@@ -600,13 +606,14 @@ def model_performance_30d(spark, d):
     return p.select("model", "horizon", *[_r(c, 4).alias(c) for c in ("avg_mape", "median_mape", "p90_mape", "avg_bias")], "n")
 
 
-_TREND = "g AS (SELECT model, horizon, avg(error) FILTER (t - closed < 30) AS m, avg(error) FILTER (t - closed >= 30 AND t - closed < 60) AS p FROM outs, (SELECT max(d) AS t FROM act) WHERE error IS NOT NULL GROUP BY 1, 2)"
+_MEAN = "CAST(sum(CAST(error AS DECIMAL(18, 3))) FILTER ({c}) AS DOUBLE) / nullif(count(*) FILTER ({c}), 0)"
+_TREND = f"g AS (SELECT model, horizon, {_MEAN.format(c='t - closed < 30')} AS m, {_MEAN.format(c='t - closed >= 30 AND t - closed < 60')} AS p FROM outs, (SELECT max(d) AS t FROM act) WHERE error IS NOT NULL GROUP BY 1, 2)"
 
 
-@query(f"WITH {OUT}, {_TREND} SELECT model, horizon, round(m, 4) AS mape, round(p, 4) AS prior_mape, CASE WHEN round(m - p, 9) < -0.02 THEN 'improving' WHEN round(m - p, 9) > 0.02 THEN 'degrading' ELSE 'stable' END AS trend FROM g WHERE m IS NOT NULL")
+@query(f"WITH {OUT}, {_TREND} SELECT model, horizon, round(m + 1e-9, 4) AS mape, round(p + 1e-9, 4) AS prior_mape, CASE WHEN round(m - p, 9) < -0.02 THEN 'improving' WHEN round(m - p, 9) > 0.02 THEN 'degrading' ELSE 'stable' END AS trend FROM g WHERE m IS NOT NULL")
 def model_performance_trend(spark, d):
     t = L.performance_trend(_outcomes(spark, d), _today(spark, d))
-    return t.select("model", "horizon", _r("mape", 4).alias("mape"), _r("prior_mape", 4).alias("prior_mape"), "trend")
+    return t.select("model", "horizon", _r(F.col("mape") + 1e-9, 4).alias("mape"), _r(F.col("prior_mape") + 1e-9, 4).alias("prior_mape"), "trend")
 
 
 @query("WITH a AS (SELECT DISTINCT l_partkey AS sku FROM lineitem WHERE l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 90 DAY), b AS (SELECT DISTINCT l_partkey AS sku FROM lineitem WHERE l_shipdate < (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 90 DAY AND l_shipdate >= (SELECT max(l_shipdate) FROM lineitem) - INTERVAL 180 DAY) SELECT sku, 'new' AS change FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT sku, 'discontinued' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
@@ -809,7 +816,7 @@ def flagship(spark, d):
 @query()
 def forecast_run(spark, d):
     """The whole run per part: model by pattern, tuned, backtested, eight horizons with quantiles, confidence and labels."""
-    s = V.series(_part(spark, d)).withColumn("pattern", V.pattern_of(F.col("sku")))
+    s = V.series(_part(spark, d)).withColumns({"pattern": V.pattern_of(F.col("sku")), "alerts": F.col("sku") % 10 == 0})
     f = W.run(s, P.defaults())
     quant = [_r(f"forecast_{h}d.{q}", 3).alias(f"{q}_{h}d") for h in (7, 30, 365) for q in ("p50", "p90")]
     return f.select("sku", "n", "pattern", "model", "alpha", "window", _r("mape", 4).alias("mape"), F.array_join("flags", "|").alias("flags"), "quantile", *quant, _r("confidence", 4).alias("confidence"), "tier", "status", "risk")
@@ -832,3 +839,6 @@ def window_keys(spark, d):
 def safe_decimal_coercion(spark, d):
     text = F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("x"), F.col("c_acctbal").cast("string"))).otherwise(F.col("c_acctbal").cast("string"))
     return V.table(spark, d, "customer").select("c_custkey", S.safe_decimal(text).cast("double").alias("amount"))
+
+
+from . import records  # noqa: E402, F401  (its queries register here)

@@ -16,6 +16,7 @@ from ..params import SIGNAL_TTL_DAYS
 
 # The states of a run and its legal transitions.
 TRANSITIONS = (
+    ("IDLE", "PRELOADING"), ("COMPLETE", "IDLE"), ("FAILED", "IDLE"),
     ("PRELOADING", "PERCEIVING"), ("PERCEIVING", "PLANNING"), ("PLANNING", "ACTING"), ("ACTING", "LEARNING"), ("LEARNING", "REPORTING"), ("REPORTING", "COMPLETE"),
     ("PRELOADING", "FAILED"), ("PERCEIVING", "FAILED"), ("PLANNING", "FAILED"), ("ACTING", "FAILED"),
 )
@@ -53,6 +54,13 @@ def health_signals(health: DataFrame, at: Column) -> DataFrame:
     return emit(health, "model_health", at, ["model", "trend"])
 
 
+def replaced_health(signals: DataFrame, fresh: DataFrame) -> DataFrame:
+    """`signals` with the health signals of the tenants in `fresh` taken out and `fresh` put in; twice is once."""
+    tenants = fresh.select("tenant_id").distinct()
+    stale = signals.where("signal_type = 'model_health'").join(F.broadcast(tenants), "tenant_id", "left_semi")
+    return signals.exceptAll(stale).unionByName(fresh)
+
+
 def live(signals: DataFrame, now: Column) -> DataFrame:
     """Signals without an expiry or not yet expired."""
     return signals.where(F.col("expires_at").isNull() | (F.col("expires_at") > now))
@@ -123,10 +131,10 @@ def valid_transition(a: str, b: str) -> bool:
 
 
 def invalid_transitions(log: DataFrame) -> DataFrame:
-    """Rows of a state log (run_id, seq, state) that do not follow from the one before; the first must be PRELOADING."""
+    """Rows of a state log (run_id, seq, state) that do not follow from the one before; the first must be IDLE or PRELOADING."""
     from pyspark.sql import Window
 
-    legal = log.sparkSession.createDataFrame([*TRANSITIONS, ("", "PRELOADING")], "prior string, state string")
+    legal = log.sparkSession.createDataFrame([*TRANSITIONS, ("", "IDLE"), ("", "PRELOADING")], "prior string, state string")
     prior = F.coalesce(F.lag("state").over(Window.partitionBy("run_id").orderBy("seq")), F.lit(""))
     return log.withColumn("prior", prior).join(F.broadcast(legal), ["prior", "state"], "left_anti")
 

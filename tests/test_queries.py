@@ -21,7 +21,7 @@ def duck():
 
 def plain(df: pd.DataFrame) -> list[tuple]:
     def one(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return ""
         if hasattr(v, "year"):
             return str(pd.Timestamp(v))
