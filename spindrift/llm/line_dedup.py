@@ -195,7 +195,8 @@ def _removed(docs: DataFrame) -> DataFrame:
     shared = cut(one.select(band).groupBy("band").count().where("count > 1").select("band"))
     heads = one.select("p", "cls", "n", *SKETCH, band).join(guarded(shared), "band", "left_semi")
     pivots = heads.groupBy("band").agg(F.min(F.struct("p", "cls", "n", *SKETCH)).alias("v")).select("band", "v.*")
-    met = heads.alias("x").join(pivots.alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
+    pivots = cut(pivots)
+    met = heads.alias("x").join(guarded(pivots).alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
     met = met.where(9 * _apart("x", "y", F.col("x.n"), F.col("y.n")) <= F.col("x.n") + F.col("y.n"))
     met = cut(met.select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier")).distinct())
     settled = _verified(met, one, docs)
@@ -224,7 +225,7 @@ def _removed(docs: DataFrame) -> DataFrame:
     near = cut(near.withColumn("near", F.lit(True)))
     light = sets.select("doc_id", "h", "line_no", "cls").join(guarded(near), "cls", "left").join(guarded(equal), "cls", "left")
     out = cut(light.where(F.col("near") | (_place() > F.col("first"))).select("doc_id", "h", "line_no"))
-    for step in (sets, equal, shared, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
+    for step in (sets, equal, shared, pivots, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
         discard(step)
     return out
 
