@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from ..params import HORIZONS, MIN_POST_BREAK_ROWS
+from ..params import HOLDOUT_ROWS, HORIZONS, MIN_POST_BREAK_ROWS
+
+#: Settings of the seasonal model: ridge, weekly terms, multiplicative. The first is the default.
+SEASONAL_GRID = tuple(itertools.product((1.0, 0.1, 10.0, 100.0), (3, 1, 2), (False, True)))
 
 
-def seasonal_fit(q: np.ndarray, days: int = 365, weekly: int = 3, yearly: int = 10, ridge: float = 1.0) -> np.ndarray:
-    """Daily forecasts of an additive trend and Fourier model, fitted by ridge regression; never below 0.
+def seasonal_fit(q: np.ndarray, days: int = 365, weekly: int = 3, yearly: int = 10, ridge: float = 1.0, multiplicative: bool = False, weights: np.ndarray | None = None) -> np.ndarray:
+    """Daily forecasts of a trend and Fourier model, fitted by ridge regression; never below 0.
 
-    The yearly terms need a year of rows, the weekly ones two weeks. A flat series forecasts its mean.
+    Additive, or multiplicative (additive in log(1 + q)). `weights`: of the rows, 1 each by default. The
+    yearly terms need a year of rows, the weekly ones two weeks. A flat series forecasts its mean.
     """
     q = np.nan_to_num(np.asarray(q, dtype=float), nan=0.0, posinf=0.0, neginf=0.0)
     n = len(q)
@@ -20,6 +26,8 @@ def seasonal_fit(q: np.ndarray, days: int = 365, weekly: int = 3, yearly: int =
         return np.zeros(days)
     if n < 14 or q.std() < 0.01:
         return np.full(days, max(0.0, q.mean()))
+    y = np.log1p(np.maximum(q, 0.0)) if multiplicative else q
+    u = np.ones(n) if weights is None else np.nan_to_num(np.asarray(weights, dtype=float), nan=1.0)
 
     def design(t: np.ndarray) -> np.ndarray:
         cols = [np.ones_like(t), t / n]
@@ -31,8 +39,45 @@ def seasonal_fit(q: np.ndarray, days: int = 365, weekly: int = 3, yearly: int =
     x = design(np.arange(n, dtype=float))
     pull = ridge * np.eye(x.shape[1])
     pull[0, 0] = 0.0
-    w = np.linalg.solve(x.T @ x + pull, x.T @ q)
-    return np.maximum(0.0, design(np.arange(n, n + days, dtype=float)) @ w)
+    w = np.linalg.solve((x.T * u) @ x + pull, (x.T * u) @ y)
+    ahead = design(np.arange(n, n + days, dtype=float)) @ w
+    return np.maximum(0.0, np.expm1(np.minimum(ahead, y.max() + 1.0)) if multiplicative else ahead)
+
+
+def seasonal_error(actual: np.ndarray, forecast: np.ndarray) -> float:
+    """The mean relative error over the rows with demand, at most 99; 1 without any."""
+    some = actual != 0
+    return min(99.0, float(np.mean(np.abs((actual[some] - forecast[some]) / actual[some])))) if some.any() else 1.0
+
+
+def seasonal_run(q: np.ndarray, window: int, weights: np.ndarray | None = None) -> tuple[float, list[float], list[float]]:
+    """(val_mape, path, totals): the error of the best setting of the grid on the last 14 rows, its forecasts of the last `window` rows from those before, and the totals per horizon."""
+    q = np.nan_to_num(np.asarray(q, dtype=float), nan=0.0, posinf=0.0, neginf=0.0)
+    cut = lambda k: None if weights is None else weights[: len(q) - k]
+
+    def fit(rows: int, days: int, g: tuple) -> np.ndarray:
+        try:
+            return seasonal_fit(q[: len(q) - rows], days, weekly=g[1], ridge=g[0], multiplicative=g[2], weights=cut(rows))
+        except np.linalg.LinAlgError:
+            return np.full(days, max(0.0, float(q[: len(q) - rows].mean())))
+
+    held = min(HOLDOUT_ROWS, len(q))
+    errors = [seasonal_error(q[len(q) - held :], fit(held, held, g)) for g in SEASONAL_GRID]
+    best = SEASONAL_GRID[int(np.argmin(errors))]
+    total = np.cumsum(fit(0, HORIZONS[-1], best))
+    return min(errors), fit(window, window, best).tolist(), [float(total[h - 1]) for h in HORIZONS]
+
+
+def seasonal_items(items: DataFrame) -> DataFrame:
+    """(sku, val_mape, path, totals) of `seasonal_run` from `items` (sku, q, window, weights); weights may be null."""
+    kind = items.schema["sku"].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            rows = [(sku, *seasonal_run(q, int(k), None if w is None else np.asarray(w, dtype=float))) for sku, q, k, w in zip(b["sku"], b["q"], b["window"], b["weights"])]
+            yield pd.DataFrame(rows, columns=["sku", "val_mape", "path", "totals"])
+
+    return items.select("sku", "q", "window", "weights").mapInPandas(run, f"sku {kind}, val_mape double, path array<double>, totals array<double>")
 
 
 def seasonal_forecast(series: DataFrame) -> DataFrame:

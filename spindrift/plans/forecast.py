@@ -1,7 +1,7 @@
 """The end-to-end run: series -> decisions -> tuned model -> backtest -> horizons -> confidence, one row per item.
 
-One shuffle by item builds its array; all later steps are columns of that row. Only seasonal items go
-through Arrow, and only they.
+One shuffle by item builds its array; all later steps are columns of that row. Only seasonal items and items
+with alerts go through Arrow, and only they.
 """
 
 from __future__ import annotations
@@ -73,42 +73,49 @@ def tuned(s: DataFrame) -> DataFrame:
 
 
 def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
-    """Forecasts of `s` (sku, ds, q, n; optional pattern, criticality, oos_pct, detection, upstream, watchlist, bias, gap, alerts).
+    """Forecasts of `s` (sku, ds, q, n; optional pattern, criticality, oos_pct, detection, upstream, watchlist, bias, gap, alerts, weights).
 
-    Items with `alerts` have their series searched for a structural break, which lowers their confidence.
+    Items with `alerts` have their rows but for the last 14 searched for a structural break, which lowers their
+    confidence; `weights` (of the rows of q) go into the seasonal fit. Without `seasonal` the seasonal
+    items are smoothed.
     """
     have = set(s.columns)
-    broken = A.structural_break(s.where("alerts").select("sku", "q")).select("sku", F.col("state").alias("_broken")) if "alerts" in have else None
+    broken = A.structural_break(R.split(s.where("alerts")).select("sku", F.col("train").alias("q"))).select("sku", F.col("rows_after").alias("_after")) if "alerts" in have else None
     s = s if "pattern" in have else classify(s)
-    given = {"criticality": F.lit("B"), "oos_pct": F.lit(None).cast("double"), "detection": F.lit(None).cast("double"), "upstream": F.lit(None).cast("double"), "watchlist": F.lit(False), "bias": F.lit(1.0), "gap": F.lit(None).cast("double"), "max_horizon": F.lit(365)}
+    given = {"criticality": F.lit("B"), "oos_pct": F.lit(None).cast("double"), "detection": F.lit(None).cast("double"), "upstream": F.lit(None).cast("double"), "watchlist": F.lit(False), "bias": F.lit(1.0), "gap": F.lit(None).cast("double"), "max_horizon": F.lit(365), "weights": F.lit(None).cast("array<double>")}
     s = s.withColumns({k: v for k, v in given.items() if k not in have})
     s = s.withColumn("q", M.clean(F.col("q"))).withColumn("model", S.assigned_model(p, F.col("pattern"), F.col("n")))
     s = tuned(s)
     window = S.backtest_window(p, F.col("n"), F.col("n") < 14, F.lit("explore"), F.lit(None).cast("int"))
     s = R.split(s.withColumn("window", window), F.col("window"))
-    s = s.withColumn("_p", _path(F.col("train"), F.col("model"), F.col("hp"), F.size("test"))).withColumn("_e", R.path_errors(F.col("test"), F.col("_p")))
+    s = s.withColumn("_p", _path(F.col("train"), F.col("model"), F.col("hp"), F.size("test")))
+    if seasonal:
+        own = F.col("model") == "prophet"
+        z = A.seasonal_items(s.where(own).select("sku", "q", F.size("test").alias("window"), "weights"))
+        s = s.join(z.toDF("sku", "_zv", "_zp", "_zt"), "sku", "left")
+        s = s.withColumns({"_p": F.when(own, F.col("_zp")).otherwise(F.col("_p")), "val_mape": F.when(own, F.col("_zv")).otherwise(F.col("val_mape")), "alpha": F.when(~own, F.col("alpha"))})
+    s = s.withColumn("_e", R.path_errors(F.col("test"), F.col("_p")))
     s = R.with_flags(s.withColumn("mape", F.col("_e.mape")), F.col("mape"))
     s = s.withColumns({"level": _level(F.col("q"), F.col("model"), F.col("hp")), "_h": M.holt_state(F.col("q"), F.col("hp.alpha"), F.col("hp.beta"), F.col("hp.phi")), "factor": S.oos_factor(F.col("pattern"), F.col("oos_pct"), F.col("detection"))})
     days, holt = _array(P.HORIZONS), F.col("model") == "holts_linear_trend"
     totals = F.when(holt, F.transform(days, lambda h: M.holt_total(F.col("_h"), h, F.col("hp.phi")))).otherwise(F.transform(days, lambda h: F.greatest(F.lit(0.0), F.col("level")) * h))
+    moves = holt | (F.lit(seasonal) & (F.col("model") == "prophet"))
     if seasonal:
-        fit = A.seasonal_forecast(s.where("model = 'prophet'").select("sku", "q")).select("sku", F.array(*[f"h{h}" for h in P.HORIZONS]).alias("_s"))
-        s = s.join(fit, "sku", "left")
-        totals = F.when(F.col("model") == "prophet", F.col("_s")).otherwise(totals)
+        totals = F.when(F.col("model") == "prophet", F.col("_zt")).otherwise(totals)
     # totals per horizon, held flat beyond the effective horizon
     s = s.withColumns({"_x": F.transform(totals, lambda x: x * F.col("factor")), "_k": F.size(F.filter(days, lambda h: h <= F.col("max_horizon")))})
     s = s.withColumn("_t", F.transform("_x", lambda x, i: F.when((i < F.col("_k")) | (F.col("_k") == 0), x).otherwise(F.get("_x", F.col("_k") - 1))))
     flat = F.when(F.col("model").isin("naive_forecast", "croston"), F.col("level")).otherwise(F.get("_p", F.lit(0)))
     missed = M.last(F.zip_with("test", "_p", lambda y, f: y - f), 30)
-    s = s.withColumn("_r", F.when(holt, missed).otherwise(M.residuals(F.col("q"), flat)))
+    s = s.withColumn("_r", F.when(moves, missed).otherwise(M.residuals(F.col("q"), flat)))
     s = s.withColumn("_o", M.order_statistics(F.col("_r")))
     s = s.withColumn("_q", F.transform("_t", lambda x: M.quantiles_from(x, F.col("_o"), F.col("pattern"))))
     s = s.withColumns({f"forecast_{h}d": F.get("_q", F.lit(i)) for i, h in enumerate(P.HORIZONS)})
     base = M.mean(M.last(F.col("q"), P.REASONABLE_BASELINE_ROWS))
     odd, mult = S.reasonableness(p, F.get("_t", F.lit(P.HORIZONS.index(P.REASONABLE_HORIZON))), base, F.col("n"))
     s = s.withColumn("flags", F.concat("flags", odd)).withColumn("_m", mult)
-    s = s.withColumn("_broken", F.lit("none")) if broken is None else s.join(broken, "sku", "left")
-    cut = lambda state: F.coalesce(F.col("_broken") == state, F.lit(False))
+    s = s.withColumn("_after", F.lit(None).cast("bigint")) if broken is None else s.join(broken, "sku", "left")
+    cut = lambda state: R.structural_state(F.col("_after"), F.col("_after").isNotNull()) == state
     c = S.confidence(p, F.col("pattern"), F.col("mape"), F.col("flags"), F.col("gap"), F.col("upstream"), F.col("bias"), cut("truncated"), cut("insufficient"), F.col("_m"))
     s = s.withColumn("confidence", c)
     return s.select(

@@ -92,7 +92,28 @@ def test_breaks_against_exhaustive_search():
 
 
 def test_breaks_lower_confidence(spark):
-    q = [10.0 + (k % 3) for k in range(100)] + [60.0 + (k % 3) for k in range(80)]
+    q = [10.0 + (k % 3) for k in range(100)] + [60.0 + (k % 3) for k in range(120)]
     s = spark.createDataFrame([(k, q, len(q), "stable") for k in (1, 2)], "sku int, q array<double>, n int, pattern string").withColumn("ds", F.lit(None).cast("array<date>"))
     c = {r["sku"]: r["confidence"] for r in W.run(s.withColumn("alerts", F.col("sku") == 1), P.defaults(), seasonal=False).collect()}
     assert c[1] == pytest.approx(max(0.3, c[2] * 0.85), rel=1e-6)
+
+
+def test_seasonal_items_are_tuned_and_backtested_by_their_own_model(spark):
+    t = np.arange(140)
+    q = (50 + 20 * np.cos(2 * np.pi * t / 7)).tolist()
+    s = spark.createDataFrame([("a", q, 140, "seasonal")], "sku string, q array<double>, n int, pattern string").withColumn("ds", F.lit(None).cast("array<date>"))
+    own, flat = (W.run(s, P.defaults(), seasonal=k).first() for k in (True, False))
+    assert own["model"] == "prophet" and own["mape"] < 0.05 < flat["mape"] and own["val_mape"] < 0.05 and own["alpha"] is None
+    assert own["forecast_7d"]["mean"] == pytest.approx(350, rel=0.05)
+
+
+def test_seasonal_weights_and_multiplicative_form():
+    t = np.arange(140)
+    level = 50 + 10 * np.cos(2 * np.pi * t / 7)
+    spiked, weights = level.copy(), np.ones(140)
+    spiked[::9], weights[::9] = 400, 0.0
+    assert np.abs(A.seasonal_fit(spiked, 14, weights=weights) - level[:14]).max() < 3 < np.abs(A.seasonal_fit(spiked, 14) - level[:14]).max()
+    growing = np.expm1(np.log1p(20) + 0.01 * t + 0.5 * np.cos(2 * np.pi * t / 7))
+    ahead = np.expm1(np.log1p(20) + 0.01 * (t[:7] + 140) + 0.5 * np.cos(2 * np.pi * (t[:7] + 140) / 7))
+    error = lambda m: A.seasonal_error(ahead, A.seasonal_fit(growing, 7, multiplicative=m))
+    assert error(True) < 0.1 < error(False)
