@@ -196,7 +196,7 @@ def _removed(docs: DataFrame) -> DataFrame:
     heads = one.select("p", "cls", "n", *SKETCH, band).join(guarded(shared), "band", "left_semi")
     pivots = heads.groupBy("band").agg(F.min(F.struct("p", "cls", "n", *SKETCH)).alias("v")).select("band", "v.*")
     pivots = cut(pivots)
-    met = heads.alias("x").join(guarded(pivots).alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
+    met = heads.alias("x").join(guarded(pivots, 100_000).alias("y"), "band").where(F.col("x.p") > F.col("y.p"))
     met = met.where(9 * _apart("x", "y", F.col("x.n"), F.col("y.n")) <= F.col("x.n") + F.col("y.n"))
     met = cut(met.select(F.col("x.cls").alias("later"), F.col("y.cls").alias("earlier")).distinct())
     settled = _verified(met, one, docs)
