@@ -30,3 +30,14 @@ def test_stages(spark):
         before = after
     assert sizes[0] < docs.count() and sizes[2] < sizes[1]
     assert P.run(spark, DATA).count() == sizes[-1]
+
+
+def test_stages_on_odd_documents(spark):
+    long = "word " * 20_000 + "end"
+    rows = [(1, None, None, None, None), (None, "a text without an id that has more than ten words in it", "en", None, 3), (2, "", "en", "s", 0), (3, " \n\t", None, "s", 3), (4, long, "en", "s", len(long)), (5, "twice\nthe same", "en", "s", 14), (5, "twice\nthe same", "en", "s", 14)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint").selectExpr("*", "'x' as _id", "1 as h", "'y' as gone", "0 as p_0")
+    for name, stage in P.STAGES:
+        out = cut(stage(spark, docs, DATA))
+        assert out.columns[: len(docs.columns)] == docs.columns and out.count() <= len(rows)
+        assert all((r["_id"], r["h"], r["gone"], r["p_0"]) == ("x", 1, "y", 0) for r in out.collect())
+        assert stage(spark, docs.limit(0), DATA).count() == 0
