@@ -116,7 +116,7 @@ def latest_prior_forecast(spark, d):
     return L.latest(w, ["sku"], F.desc("created")).join(n, "sku").select("sku", "created", "pattern", "model", "quantile", "n_prior", (F.col("h90_p90") >= F.col("h7_p50")).alias("rising"), *_WIDE)
 
 
-@query(f"WITH {D_BRAND} SELECT sku AS sku_id, d AS date, CASE WHEN qty > 200 THEN 0.0 ELSE qty END AS qty, 'stable' AS pattern_label, 0.0 AS price, 1.0 AS promo_weight FROM db")
+@query(f"WITH {D_BRAND} SELECT sku AS sku_id, d AS date, CASE WHEN qty > 200 THEN 0.0 ELSE qty END AS qty, 'stable' AS pattern_label, 0.0::DOUBLE AS price, 1.0::DOUBLE AS promo_weight FROM db")
 def csv_with_aliases(spark, d):
     path = _folder(spark)
     rows = _brand(spark, d).select(F.col("sku").alias("Product_ID"), F.date_format("d", "dd-MM-yyyy").alias("order_date"), F.when(F.col("qty") > 200, F.lit("many")).otherwise(F.col("qty").cast("string")).alias("Units"))
@@ -279,7 +279,7 @@ def hp_tuned_by_model(spark, d):
     return W.tuned(V.series(_brand(spark, d)).withColumn("model", model)).select("sku", "model", _r("val_mape").alias("val_mape"))
 
 
-@query("SELECT r_regionkey AS tenant_id, CASE r_regionkey % 3 WHEN 0 THEN 'lag,promo,weekend' WHEN 1 THEN 'lag,promo' ELSE 'lag' END AS features, CASE r_regionkey % 3 WHEN 0 THEN 0.3 WHEN 1 THEN 0.4 ELSE 0.05 END AS error FROM region")
+@query("SELECT r_regionkey AS tenant_id, CASE r_regionkey % 3 WHEN 0 THEN 'lag,promo,weekend' WHEN 1 THEN 'lag,promo' ELSE 'lag' END AS features, CAST(CASE r_regionkey % 3 WHEN 0 THEN 0.3 WHEN 1 THEN 0.4 ELSE 0.05 END AS DOUBLE) AS error FROM region")
 def feature_search_choice(spark, d):
     # the error of a list of features, by tenant: promo helps all, weekend some, season nobody, and a good start ends the search
     gain = {0: {"promo": 0.1, "weekend": 0.1}, 1: {"promo": 0.1}, 2: {"promo": 0.01}}
@@ -391,7 +391,7 @@ def state_log_of_runs(spark, d):
     return log.read().select("run_id", seq.alias("seq"), "from_state", "to_state", "reason")
 
 
-@query(f"WITH {OUT}, m AS (SELECT model, max(error) AS e FROM outs WHERE error IS NOT NULL AND horizon = 30 GROUP BY 1) SELECT 'T1' AS tenant_id, model AS sku, t AS signal_type, CASE WHEN t = 'model_health' THEN 0.0 ELSE 1.0 END AS confidence, TIMESTAMP '2030-01-01' + to_days(CASE t WHEN 'forecast_accuracy' THEN 90 WHEN 'forecast_risk' THEN 90 WHEN 'cross_sku_learning' THEN 60 ELSE 30 END) AS expires_at FROM m, (VALUES ('forecast_accuracy'), ('forecast_risk'), ('cross_sku_learning'), ('model_health')) t(t) WHERE CASE t WHEN 'forecast_risk' THEN model LIKE '%s%' WHEN 'cross_sku_learning' THEN e < 5 ELSE TRUE END")
+@query(f"WITH {OUT}, m AS (SELECT model, max(error) AS e FROM outs WHERE error IS NOT NULL AND horizon = 30 GROUP BY 1) SELECT 'T1' AS tenant_id, model AS sku, t AS signal_type, CASE WHEN t = 'model_health' THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS confidence, TIMESTAMP '2030-01-01' + to_days(CASE t WHEN 'forecast_accuracy' THEN 90 WHEN 'forecast_risk' THEN 90 WHEN 'cross_sku_learning' THEN 60 ELSE 30 END) AS expires_at FROM m, (VALUES ('forecast_accuracy'), ('forecast_risk'), ('cross_sku_learning'), ('model_health')) t(t) WHERE CASE t WHEN 'forecast_risk' THEN model LIKE '%s%' WHEN 'cross_sku_learning' THEN e < 5 ELSE TRUE END")
 def typed_signals_emitted(spark, d):
     m = _outcomes(spark, d).where("error is not null and horizon = 30").groupBy("model").agg(F.max("error").alias("mape"))
     rows = m.select(F.lit("T1").alias("tenant_id"), F.col("model").alias("sku"), "model", "mape", F.when(F.col("model").contains("s"), "high").otherwise("low").alias("risk"), F.lit("forecasted").alias("status"), F.lit("stable").alias("trend"), F.lit(7.5).alias("confidence"))
