@@ -72,12 +72,36 @@ def tuned(s: DataFrame) -> DataFrame:
     return s.drop("_g", "_e", "_b", "train", "test")
 
 
-def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
+def prepared(s: DataFrame, most: float = P.DEFAULTS["max_promo_multiplier"]) -> DataFrame:
+    """`s` (sku, ds, q, n, model, weights, b2b, promo) with ds, q and weights as the model trains on them, and dow.
+
+    Items sold to businesses (b2b) keep their weekday rows, if they have any. dow: 7 multipliers, Monday first, of the
+    rows kept. On promotion days (promo: an array of weights of the rows of q, or null; below 1 on such days) q is
+    at most `most` times its 14-row mean; seasonal items take the weights into their fit instead. n stays.
+    """
+    q, own = F.col("q"), F.col("model") == "prophet"
+    row = lambda x, i: F.struct(F.get("ds", i).alias("d"), F.weekday(F.get("ds", i)).alias("k"), x.alias("q"), F.coalesce(F.get("promo", i), F.lit(1.0)).alias("w"), F.get("weights", i).alias("v"))
+    s = s.withColumn("_z", F.transform(q, row)).withColumn("_w", F.filter("_z", lambda e: e["k"] < 5))
+    shut = F.coalesce("b2b", F.lit(False)) & (F.size("_w") > 0)
+    s = s.withColumn("_z", F.when(shut, F.col("_w")).otherwise(F.col("_z"))).withColumns({"b2b": shut, "ds": F.col("_z.d"), "q": F.col("_z.q")})
+    s = s.withColumn("_m", M.mean(q))
+    flat = own | (F.size("q") < 28) | ~F.coalesce(F.col("_m") > 0, F.lit(False))
+    at = lambda k: F.transform(F.array(F.filter("_z", lambda e: e["k"] == k)["q"]), lambda a: F.when(F.size(a) < 4, F.lit(1.0)).otherwise(M.mean(a) / F.col("_m")))[0]
+    dow = F.array(*[F.when(F.col("b2b") & F.lit(k >= 5), F.lit(0.0)).otherwise(at(k)) for k in range(7)])
+    s = s.withColumn("dow", F.when(flat, F.array(*[F.lit(1.0)] * 7)).otherwise(dow))
+    given = F.when(F.col("promo").isNotNull(), F.col("_z.w")).when(F.col("weights").isNotNull(), F.col("_z.v"))
+    capped = F.transform(F.arrays_zip("_z", R.rolling_array(q, P.PROMO_BASELINE_ROWS).alias("r")), lambda e: F.when(e["_z"]["w"] < 1, F.least(e["_z"]["q"], e["r"] * most)).otherwise(e["_z"]["q"]))
+    some = F.exists("_z", lambda e: e["w"] < 1)
+    return s.withColumns({"weights": given, "q": F.when(some & ~own, capped).otherwise(q)}).drop("_z", "_w", "_m")
+
+
+def run(s: DataFrame, p: P.Params, seasonal: bool = True, prepare: bool = False) -> DataFrame:
     """Forecasts of `s` (sku, ds, q, n; optional pattern, criticality, oos_pct, detection, upstream, watchlist, bias, gap, alerts, weights).
 
     Items with `alerts` have their rows but for the last 14 searched for a structural break, which lowers their
     confidence; `weights` (of the rows of q) go into the seasonal fit. Without `seasonal` the seasonal
-    items are smoothed.
+    items are smoothed. With `prepare` the rows go through `prepared` first (optional columns b2b, promo), and the
+    totals of the other models follow the weekdays of their days.
     """
     have = set(s.columns)
     broken = A.structural_break(R.split(s.where("alerts")).select("sku", F.col("train").alias("q"))).select("sku", F.col("rows_after").alias("_after")) if "alerts" in have else None
@@ -85,6 +109,9 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     given = {"criticality": F.lit("B"), "oos_pct": F.lit(None).cast("double"), "detection": F.lit(None).cast("double"), "upstream": F.lit(None).cast("double"), "watchlist": F.lit(False), "bias": F.lit(1.0), "gap": F.lit(None).cast("double"), "max_horizon": F.lit(365), "weights": F.lit(None).cast("array<double>")}
     s = s.withColumns({k: v for k, v in given.items() if k not in have})
     s = s.withColumn("q", M.clean(F.col("q"))).withColumn("model", S.assigned_model(p, F.col("pattern"), F.col("n")))
+    if prepare:
+        given = {"b2b": F.lit(False), "promo": F.lit(None).cast("array<double>")}
+        s = prepared(s.withColumns({k: v for k, v in given.items() if k not in have}), float(p["max_promo_multiplier"]))
     s = tuned(s)
     window = S.backtest_window(p, F.col("n"), F.col("n") < 14, F.lit("explore"), F.lit(None).cast("int"))
     s = R.split(s.withColumn("window", window), F.col("window"))
@@ -105,6 +132,10 @@ def run(s: DataFrame, p: P.Params, seasonal: bool = True) -> DataFrame:
     # totals per horizon, held flat beyond the effective horizon
     s = s.withColumns({"_x": F.transform(totals, lambda x: x * F.col("factor")), "_k": F.size(F.filter(days, lambda h: h <= F.col("max_horizon")))})
     s = s.withColumn("_t", F.transform("_x", lambda x, i: F.when((i < F.col("_k")) | (F.col("_k") == 0), x).otherwise(F.get("_x", F.col("_k") - 1))))
+    if prepare:
+        day = F.element_at("ds", -1)
+        shaped = F.array(*[R.dow_total(F.get("_t", F.lit(i)), h, F.col("dow"), day) for i, h in enumerate(P.HORIZONS)])
+        s = s.withColumn("_t", F.when((F.size("ds") == 0) | F.forall("dow", lambda x: x == 1), F.col("_t")).otherwise(shaped))
     flat = F.when(F.col("model").isin("naive_forecast", "croston"), F.col("level")).otherwise(F.get("_p", F.lit(0)))
     missed = M.last(F.zip_with("test", "_p", lambda y, f: y - f), 30)
     s = s.withColumn("_r", F.when(moves, missed).otherwise(M.residuals(F.col("q"), flat)))

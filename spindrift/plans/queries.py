@@ -563,7 +563,7 @@ def tier_classification(spark, d):
 
 
 def _today(spark, d):
-    return V.actuals(spark, d).agg(F.max("d").alias("m")).scalar()
+    return V.last_order_day(spark, d).scalar()
 
 
 def _outcomes(spark, d) -> DataFrame:
@@ -816,8 +816,8 @@ def flagship(spark, d):
 @query()
 def forecast_run(spark, d):
     """The whole run per part: model by pattern, tuned, backtested, eight horizons with quantiles, confidence and labels."""
-    s = V.series(_part(spark, d)).withColumns({"pattern": V.pattern_of(F.col("sku")), "alerts": F.col("sku") % 10 == 0})
-    f = W.run(s, P.defaults())
+    s = V.series(_part(spark, d)).withColumns({"pattern": V.pattern_of(F.col("sku")), "alerts": F.col("sku") % 10 == 0, "b2b": F.col("sku") % 7 == 0, "promo": F.when(F.col("sku") % 3 == 0, F.transform("ds", lambda x: F.when(F.dayofmonth(x) == 1, 0.8).otherwise(1.0)))})
+    f = W.run(s, P.defaults(), prepare=True)
     quant = [_r(f"forecast_{h}d.{q}", 3).alias(f"{q}_{h}d") for h in (7, 30, 365) for q in ("p50", "p90")]
     return f.select("sku", "n", "pattern", "model", "alpha", "window", _r("mape", 4).alias("mape"), F.array_join("flags", "|").alias("flags"), "quantile", *quant, _r("confidence", 4).alias("confidence"), "tier", "status", "risk")
 

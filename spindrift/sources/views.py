@@ -66,6 +66,11 @@ def actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(F.col("l_partkey").alias("sku"), "d").agg(F.sum("l_quantity").alias("qty"))
 
 
+def last_order_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row (m): the last day on which anything was ordered; one column of one table, none of the sums."""
+    return table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate")).alias("m"))
+
+
 def pattern_of(key: Column) -> Column:
     """The stand-in pattern of a part, dealt out by its key."""
     return F.element_at(F.array(*[F.lit(p) for p in PATTERNS]), (key % 5).cast("int") + 1)
@@ -81,7 +86,7 @@ def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
     Made 100, 45 and 10 days before the last order day, from each part's mean daily orders of the year before.
     """
     a = actuals(spark, sf_dir)
-    made = a.agg(F.max("d").alias("m")).select(F.explode(F.array(*[F.date_sub("m", k) for k in (100, 45, 10)])).alias("created"))
+    made = last_order_day(spark, sf_dir).select(F.explode(F.array(*[F.date_sub("m", k) for k in (100, 45, 10)])).alias("created"))
     rate = a.join(F.broadcast(made), (F.col("d") < F.col("created")) & (F.col("d") >= F.date_sub("created", 365))).groupBy("sku", "created").agg((F.sum("qty") / 365).alias("rate"))
     f = rate.withColumn("pattern", pattern_of(F.col("sku"))).withColumn("model", model_of(F.col("pattern")))
     f = f.withColumn("quantile", F.when(F.col("pattern").isin("trending", "stable"), F.lit(0.8)).otherwise(F.lit(0.9)))

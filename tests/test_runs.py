@@ -1,7 +1,7 @@
 """Runs, their log and tables, and the break search against exhaustive search."""
 
 import itertools
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 import numpy as np
 import pytest
@@ -117,3 +117,34 @@ def test_seasonal_weights_and_multiplicative_form():
     ahead = np.expm1(np.log1p(20) + 0.01 * (t[:7] + 140) + 0.5 * np.cos(2 * np.pi * (t[:7] + 140) / 7))
     error = lambda m: A.seasonal_error(ahead, A.seasonal_fit(growing, 7, multiplicative=m))
     assert error(True) < 0.1 < error(False)
+
+
+def test_preparation_filters_caps_and_shapes(spark):
+    start = date(2024, 1, 1)  # a Monday
+    ds = [start + timedelta(days=k) for k in range(84)]
+    q = [float(10 + 5 * (k % 7 == 0)) for k in range(84)]
+    q[30] = 500.0
+    promo = [0.5 if k == 30 else 1.0 for k in range(84)]
+    weekend, flat = [d for d in ds if d.weekday() >= 5], [1.0] * 7
+    cases = [("a", ds, q, "stable", True, promo), ("b", ds, q, "seasonal", False, promo), ("c", weekend, [3.0] * len(weekend), "stable", True, None), ("d", ds, q, "stable", False, None), ("e", [], [], "stable", True, None)]
+    s = spark.createDataFrame(cases, "sku string, ds array<date>, q array<double>, pattern string, b2b boolean, promo array<double>").withColumns({"n": F.size("q"), "weights": F.lit(None).cast("array<double>")})
+    s = s.withColumn("model", F.when(F.col("pattern") == "seasonal", "prophet").otherwise("simple_exponential_smoothing"))
+    got = {r["sku"]: r for r in W.prepared(s, 3.0).collect()}
+
+    kept = [(d, x) for d, x in zip(ds, q) if d.weekday() < 5]
+    want = [x for _, x in kept]
+    k = [d for d, _ in kept].index(ds[30])
+    mean = sum(want) / len(want)
+    days = [np.mean([x for d, x in kept if d.weekday() == w]) / mean for w in range(5)] + [0.0, 0.0]
+    assert got["a"]["dow"] == pytest.approx(days)
+    want[k] = min(500.0, 3 * float(np.mean(want[k - 13 : k + 1])))
+    assert want[k] < 500 and got["a"]["q"] == pytest.approx(want) and got["a"]["ds"] == [d for d, _ in kept] and got["a"]["n"] == 84
+    assert got["b"]["q"] == q and got["b"]["weights"] == promo and got["b"]["dow"] == flat
+    assert got["c"]["q"] == [3.0] * len(weekend) and not got["c"]["b2b"] and got["c"]["dow"] == flat
+    assert got["d"]["q"] == q and got["d"]["dow"][5] < 1 < got["d"]["dow"][2] and got["e"]["q"] == [] and got["e"]["dow"] == flat
+
+    plain, shaped = ({r["sku"]: r for r in W.run(s.where("n > 0").drop("model", "weights"), P.defaults(), seasonal=False, prepare=x).collect()} for x in (False, True))
+    level = plain["d"]["forecast_7d"]["mean"] / 7
+    ahead = [(ds[-1] + timedelta(days=i + 1)).weekday() for i in range(30)]
+    assert shaped["d"]["forecast_30d"]["mean"] == pytest.approx(level * sum(got["d"]["dow"][w] for w in ahead), rel=1e-3)
+    assert shaped["c"]["forecast_30d"]["mean"] == pytest.approx(plain["c"]["forecast_30d"]["mean"])
