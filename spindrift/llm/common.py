@@ -16,9 +16,12 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor sees: `spark.checkpoint.dir`, or one of our own where that is unset."""
+    """The folder every executor sees: `spark.checkpoint.dir`; in local mode one of our own where that is unset, on a cluster a ValueError."""
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         d = "file://" + tempfile.mkdtemp(prefix="spindrift-")
         spark.conf.set("spark.checkpoint.dir", d)
     return d.rstrip("/")

@@ -9,6 +9,7 @@ import random
 import re
 import time
 import zlib
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -17,6 +18,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from spindrift.llm import chat_format as C
+from spindrift.llm import common
 from spindrift.llm import components as N
 from spindrift.llm import decontamination as D
 from spindrift.llm import html_extraction as X
@@ -678,3 +680,14 @@ def test_chat_odd(spark):
     assert len({(x["turn"], x["cost"]) for x in got if x["conv_id"] is None}) == 2 and any(x["conv_id"] == 2 for x in got)
     assert C.chat_format(df.limit(0)).count() == 0
     assert sum(x["action"] != "insert" for x in rows(C.chat_format(df, repeats=True)) if x["conv_id"] == 1) == 2
+
+
+def test_cluster_without_a_shared_folder_is_refused():
+    def session(master, **conf):
+        return SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get("at", d), set=lambda k, v: None), sparkContext=SimpleNamespace(master=master))
+
+    for master in ("spark://host:7077", "local-cluster[3,1,1024]", "yarn"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            common.shared_dir(session(master))
+        assert common.shared_dir(session(master, at="hdfs:///x/")) == "hdfs:///x"
+    assert common.shared_dir(session("local[8]")).startswith("file://")
