@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,11 +28,14 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and read it back: lineage ends there and survives lost executors."""
+def cut(df: DataFrame, hashes: Sequence[str] = ()) -> DataFrame:
+    """Write `df` to the shared folder and read it back: lineage ends there and survives lost executors.
+
+    `hashes`: Parquet paths of columns whose values hardly repeat, for which no dictionary is tried.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/spindrift-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**{f"parquet.enable.dictionary#{c}": "false" for c in hashes}).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._spindrift_path = path
     return out

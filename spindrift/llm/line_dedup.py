@@ -70,18 +70,29 @@ def _words(text: Column) -> Column:
     return F.split(F.lower(text), " ", -1)
 
 
+def _counts(docs: DataFrame) -> DataFrame:
+    """(b, n, odd): of the words in hash buckets 2b and 2b + 1 how many there are, and how many in the latter.
+
+    Two buckets share a row, as 2^16 groups are what the engine's fast map of a task holds.
+    """
+    spots = docs.select(F.explode(_words(F.replace(_spaced(F.col("text")), F.lit("\n"), F.lit(" ")))).alias("w")).where("w <> ''")
+    hashes = spots.select(F.xxhash64("w").alias("x"))
+    pairs = hashes.groupBy(F.shiftright("x", 1).bitwiseAND(BUCKETS // 2 - 1).alias("b"))
+    return pairs.agg(F.count("*").alias("n"), F.count(F.when(F.col("x").bitwiseAND(1) == 1, 1)).alias("odd"))
+
+
 def rarity(docs: DataFrame) -> list[int]:
     """The rarity class (0..63, rarest first) of each hash bucket, from the counts of all words."""
-    spots = docs.select(F.explode(_words(_spaced(F.col("text"), "\n\t\x0b\f\r"))).alias("w")).where("w <> ''")
     out = [0] * BUCKETS
-    for b, n in spots.groupBy(F.xxhash64("w").bitwiseAND(BUCKETS - 1).alias("b")).count().collect():  # at most BUCKETS rows
-        out[b] = min(63, int(1.5 * math.log2(n)))
+    for b, n, odd in _counts(docs).collect():  # at most BUCKETS / 2 rows
+        for bucket, m in ((2 * b, n - odd), (2 * b + 1, odd)):
+            out[bucket] = min(63, int(1.5 * math.log2(max(1, m))))
     return out
 
 
 def _tokens(line: Column) -> Column:
-    """The hashes of a line's tokens, in order."""
-    return F.array_distinct(F.sort_array(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))))
+    """The hashes of a line's tokens."""
+    return F.array_distinct(F.array_remove(F.transform(_words(line), lambda w: F.xxhash64(w)), F.xxhash64(F.lit(""))))
 
 
 def _keys(tokens: str, classes: list[int]) -> Column:
@@ -111,7 +122,7 @@ def _sets(docs: DataFrame, classes: list[int]) -> DataFrame:
     """(doc_id, h, line_no, cls, n, s0..s3, bands, prefix) of every line with tokens; bands and prefix are empty under `LEAST_NEAR` tokens."""
     lines = docs.select("doc_id", "h", F.posexplode(F.split(_spaced(F.col("text")), "\n", -1)).alias("line_no", "line")).where("trim(line) <> ''")
     own = ["doc_id", "h", "line_no"]
-    keys = lines.select(*own, _tokens(F.col("line")).alias("tokens"))
+    keys = lines.select(*own, F.sort_array(_tokens(F.col("line"))).alias("tokens"))
     keys = keys.select(*own, F.xxhash64("tokens").alias("cls"), _keys("tokens", classes).alias("keys"))
     middle, zero = F.lit(MIDDLE), F.lit(0).cast("long")
     rarer = F.slice("keys", F.lit(1), F.floor((F.size("keys") + 1) / 2).cast("int"))  # common words would bring unlike lines together
@@ -160,14 +171,13 @@ def _verified(pairs: DataFrame, places: DataFrame, docs: DataFrame) -> DataFrame
     """The (later, earlier) of `pairs` whose token sets really have the similarity. `places`: cls, p (a line with the set)."""
     ids = pairs.select(F.col("later").alias("cls")).unionByName(pairs.select(F.col("earlier").alias("cls"))).distinct()
     ids = cut(ids)
-    where = places.join(guarded(ids), "cls", "left_semi").groupBy(F.col("p.d").alias("_id"), F.col("p.h").alias("_th")).agg(F.collect_set("p.l").alias("_ls"))
+    where = places.join(guarded(ids), "cls", "left_semi").groupBy(F.col("p.d").alias("_id"), F.col("p.h").alias("_th")).agg(F.collect_set(F.struct("p.l", "cls")).alias("_ls"))
     where = cut(where)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("h") == F.col("_th"))
     lines = docs.join(guarded(where, 200_000), same).select(F.split(_spaced(F.col("text")), "\n", -1).alias("lines"), "_ls")
-    lines = lines.select(F.explode(F.transform("_ls", lambda k: F.get("lines", k))).alias("line"))
+    lines = lines.select(F.explode(F.transform("_ls", lambda k: F.struct(F.get("lines", k["l"]).alias("line"), k["cls"].alias("cls")))).alias("at")).select("at.*")
     # a class comes from one line; where a whole row is repeated it may come twice, which only repeats a result
-    keys = lines.select(_tokens(F.col("line")).alias("keys"))
-    keys = cut(keys.select(F.xxhash64("keys").alias("cls"), "keys"))
+    keys = cut(lines.select("cls", _tokens(F.col("line")).alias("keys")))
     a, b = keys.select(F.col("cls").alias("later"), F.col("keys").alias("ka")), keys.select(F.col("cls").alias("earlier"), F.col("keys").alias("kb"))
     both = pairs.join(a, "later").join(b, "earlier").withColumn("o", F.size(F.array_intersect("ka", "kb")))
     out = cut(both.where(9 * F.col("o") >= 4 * (F.size("ka") + F.size("kb"))).select("later", "earlier"))
@@ -185,8 +195,9 @@ def _removed(docs: DataFrame) -> DataFrame:
     """(doc_id, h, line_no) of the lines that go, as often as their row is there; h: the hash of the text."""
     docs = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
     classes = rarity(docs)
-    sets = cut(_sets(docs, classes))
-    equal = cut(sets.groupBy("cls").agg(F.min(_place()).alias("first"), F.count("*").alias("m")).where("m > 1").select("cls", "first"))
+    sets = cut(_sets(docs, classes), hashes=["h", "cls", "s0", "bands.list.element", "prefix.list.element"])
+    many = cut(sets.groupBy("cls").count().where("count > 1").select("cls"))  # counted first: least places are found by sorting
+    equal = cut(sets.join(guarded(many), "cls", "left_semi").groupBy("cls").agg(F.min(_place()).alias("first")))
     one = sets.join(guarded(equal), "cls", "left").where(F.col("first").isNull() | (_place() == F.col("first")))
     one = one.select("cls", "n", *SKETCH, "bands", "prefix", _place().alias("p"))
 
@@ -224,7 +235,7 @@ def _removed(docs: DataFrame) -> DataFrame:
     near = cut(near.withColumn("near", F.lit(True)))
     light = sets.select("doc_id", "h", "line_no", "cls").join(guarded(near), "cls", "left").join(guarded(equal), "cls", "left")
     out = cut(light.where(F.col("near") | (_place() > F.col("first"))).select("doc_id", "h", "line_no"))
-    for step in (sets, equal, shared, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
+    for step in (sets, many, equal, shared, met, settled, done, found, ids, at, pairs, early, sure, rest, more, near):
         discard(step)
     return out
 

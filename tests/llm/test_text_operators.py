@@ -229,6 +229,17 @@ def test_line_dedup(spark):
     assert sum(x["n_removed"] for x in E.line_report(df).collect()) == len(want)
 
 
+def test_line_dedup_counts_two_buckets_a_row(spark):
+    """The word counts group by at most 2^16 rows, and give every bucket's count as a plain count does."""
+    docs = spark.range(0, 200_000, 1, 2).select(F.concat_ws(" ", F.concat(F.lit("W"), "id"), F.lit("of\tthe\nof")).alias("text"))
+    assert E._counts(docs).count() <= E.BUCKETS // 2 == 1 << 16
+    words = docs.select(F.explode(F.split(F.lower("text"), r"[ \t\n]")).alias("w"))
+    want = [0] * E.BUCKETS
+    for b, n in words.groupBy(F.xxhash64("w").bitwiseAND(E.BUCKETS - 1)).count().collect():
+        want[b] = min(63, int(1.5 * math.log2(n)))
+    assert E.rarity(docs) == want
+
+
 def test_line_dedup_odd(odd):
     got = rows(E.line_report(odd))
     assert len(got) == 9 and [r["removed_lines"] for r in got if r["doc_id"] == 6] == ["0"]
